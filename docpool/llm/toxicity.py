@@ -3,18 +3,18 @@
 Two zstandard dictionaries are trained, one on toxic and one on ordinary text. A text is cut into
 windows of about WINDOW bytes at spaces; the score of a window is the number of bytes by which the
 toxic dictionary compresses it better. Both dictionaries end in the same common text, so that windows
-of ordinary words come out alike, and begin with what is peculiar to their class: words that far more
-of its documents use than of the other's. A document counts for a word only if it has it in a context
+of ordinary words come out alike, and begin with what is peculiar to their class: beginnings of words that far more of its
+documents use than of the other's. A document counts for one only if it has it in a context
 (the words before and after) that no earlier document had, so that copies teach nothing.
 
-Calibration, on the learning rows: the least gain at which a window counts is the one that tells the
-classes apart best, and a text's score is the share of toxic rows among learning rows with as many
-counting windows, smoothed and made monotone.
+Calibration, on the learning rows: a logistic function of the bytes that counting windows gain, the
+largest gain and the number of windows; the least gain at which a window counts is the one that
+predicts the labels best.
 
 Learning is from a sample of labelled rows, TRAIN_BYTES of each class on average, drawn by a hash of
 the id.
 
-Defined results: null and empty texts have no windows and get the score of such; without labelled rows
+Defined results: null and empty texts have no windows and get the score of such a text; without labelled rows
 of both classes every score is the (smoothed) share of toxic rows; rows without a label teach nothing;
 an id with several labels is toxic if one of them is; repeated ids give repeated rows; null ids stay
 null; an empty table gives an empty result; further columns are ignored.
@@ -28,6 +28,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -37,12 +38,12 @@ from docpool.llm import common
 
 #: Bytes of sampled text in a class, on average.
 TRAIN_BYTES = 8_000_000
-WINDOW = 64
+WINDOW, TAIL = 40, 64
 COMMON_BYTES, OWN_BYTES = 24_000, 6_000
-#: Least log-likelihood ratio (G squared) for a word to be peculiar to a class.
+#: Least log-likelihood ratio (G squared) for a beginning of words to be peculiar to a class.
 PECULIAR = 25.0
-GAINS = (2, 3, 4, 5, 6)
-MOST_HITS = 8
+SHORTEST, LONGEST = 4, 12
+GAINS = (1, 2, 3, 4)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _WORD = re.compile(rb"[^\s!-/:-@\[-`{-~]+")
 
@@ -74,35 +75,43 @@ def peculiar(mine: Counter, other: Counter, m: int, n: int) -> list[tuple[float,
         g = 2 * (a * math.log(a / e1) + (b * math.log(b / e2) if b else 0))
         if g >= PECULIAR:
             out.append((g, word))
-    return sorted(out)
+    chosen: list[tuple[float, bytes]] = []
+    for g, word in sorted(out, key=lambda x: (-x[0], -len(x[1]), x[1])):
+        if not any(word.startswith(w) or w.startswith(word) for _, w in chosen):
+            chosen.append((g, word))
+    return chosen
 
 
 class Detector:
     """Two dictionaries and a calibration. Pickles as bytes; compressors are made where it is used."""
 
-    def __init__(self, toxic: list[str], ordinary: list[str]):
+    def __init__(self, toxic: list[str], ordinary: list[str], weights: tuple[float, float] = (1.0, 1.0)):
+        """weights: how many rows each ordinary and each toxic text of the sample stands for."""
         classes = [[folded(t) for t in ordinary], [folded(t) for t in toxic]]
         counts = [self._count(texts) for texts in classes]
         sizes = [max(1, len(texts)) for texts in classes]
         special = [peculiar(counts[k], counts[1 - k], sizes[k], sizes[1 - k]) for k in (0, 1)]
         strange = {w for s in special for _, w in s}
         # common text: the words that most ordinary documents use
-        usual = [w for w, _ in counts[0].most_common(20_000) if w not in strange]
+        whole = Counter(w for t in classes[0] for w in set(_WORD.findall(t)))
+        usual = [w for w, _ in whole.most_common(20_000) if not any(w.startswith(x) for x in strange)]
         shared = b" ".join(reversed(self._fill(usual, COMMON_BYTES)))
-        self.dictionaries = [b" ".join(reversed(self._fill([w for _, w in reversed(s)], OWN_BYTES))) + b" " + shared for s in special]
-        # where nothing is peculiar, both are the same and every gain is 0
-        self.gain, self.scores = GAINS[0], [0.5]
-        self._calibrate(classes)
+        # what comes last is nearest, and so cheapest to point to
+        self.dictionaries = [b"".join(b" " + w for w in reversed(self._fill([w for _, w in s], OWN_BYTES))) + b" " + shared for s in special]
+        # text that both know by heart: with it a short window is always worth compressing
+        self.tail = shared[-TAIL:]
+        self._calibrate(classes, weights)
 
     @staticmethod
     def _count(texts: list[bytes]) -> Counter:
-        """Documents with each word in a new context."""
+        """Documents with each beginning of a word, SHORTEST to LONGEST bytes or all, in a new context."""
         out, seen = Counter(), set()
         for t in texts:
             words = [b"", *_WORD.findall(t), b""]
             fresh = set(zip(words, words[1:], words[2:])) - seen
             seen |= fresh
-            out.update({w for _, w, _ in fresh})
+            words = {w for _, w, _ in fresh}
+            out.update({w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
         return out
 
     @staticmethod
@@ -129,33 +138,35 @@ class Detector:
 
     def gains(self, data: bytes) -> list[int]:
         """By how many bytes each window is shorter under the toxic dictionary."""
-        ordinary, toxic = self.compressors
-        return [len(ordinary(w)) - len(toxic(w)) for w in windows(data)]
-
-    def _calibrate(self, classes: list[list[bytes]]) -> None:
-        gains = [[sorted(self.gains(t), reverse=True)[:MOST_HITS] for t in texts] for texts in classes]
-        n = [max(1, len(g)) for g in gains]
-
-        def hits(g: list[int], least: int) -> int:
-            return sum(x >= least for x in g)
-
-        # Youden's index of "two counting windows, or one", the larger
-        def apart(least: int) -> float:
-            return max(sum(hits(g, least) >= k for g in gains[1]) / n[1] - sum(hits(g, least) >= k for g in gains[0]) / n[0] for k in (1, 2))
-
-        self.gain = max(GAINS, key=lambda g: (round(apart(g), 4), g))
-        base = (len(gains[1]) + 0.5) / (len(gains[0]) + len(gains[1]) + 1)
-        at = [Counter(hits(g, self.gain) for g in texts) for texts in gains]
-        scores: list[float] = []
-        for k in range(MOST_HITS + 1):
-            scores.append((at[1][k] + 2 * base) / (at[0][k] + at[1][k] + 2))
-        for k in range(1, len(scores)):
-            scores[k] = max(scores[k], scores[k - 1])
-        self.scores = scores
+        (ordinary, toxic), tail = self.compressors, self.tail
+        return [len(ordinary(w + tail)) - len(toxic(w + tail)) for w in windows(data)]
+
+    def _features(self, gains: list[int], least: int) -> list[float]:
+        """Of a text: what its counting windows gain together, the largest gain, its length."""
+        total = sum(g for g in gains if g >= least)
+        return [1.0, math.log1p(total), math.log1p(max(gains, default=0)), math.log1p(len(gains)), total / (len(gains) + 4)]
+
+    def _calibrate(self, classes: list[list[bytes]], weights: tuple[float, float]) -> None:
+        gains = [[self.gains(t) for t in texts] for texts in classes]
+        y = np.concatenate([np.full(len(g), float(k)) for k, g in enumerate(gains)])
+        of = np.concatenate([np.full(len(g), weights[k]) for k, g in enumerate(gains)])
+        if not gains[0] or not gains[1]:
+            self.gain, self.weights = GAINS[0], np.array([math.log(((y * of).sum() + 0.5) / (((1 - y) * of).sum() + 0.5)), 0, 0, 0, 0])
+            return
+        fits = []
+        for least in GAINS:
+            x = np.array([self._features(g, least) for texts in gains for g in texts])
+            w = np.zeros(x.shape[1])
+            for _ in range(25):  # Newton's method, with a little weight decay
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                w = w + np.linalg.solve(x.T @ (x * (of * p * (1 - p))[:, None]) + np.eye(len(w)), x.T @ (of * (y - p)) - w)
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            fits.append((float(-(of * (y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12))).sum()), least, w))
+        _, self.gain, self.weights = min(fits, key=lambda f: f[:2])
 
     def score(self, text: str) -> float:
-        found = sum(g >= self.gain for g in self.gains(folded(text)))
-        return self.scores[min(found, len(self.scores) - 1)]
+        at = float(np.dot(self._features(self.gains(folded(text)), self.gain), self.weights))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, at))))
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_bytes: int = TRAIN_BYTES) -> Detector:
@@ -171,7 +182,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     got = texts.join(F.broadcast(drawn), "doc_id").where("text is not null").select("label", "text").toArrow()
     rows = list(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
     rows.sort()
-    return Detector([t for k, t in rows if k > 0], [t for k, t in rows if k <= 0])
+    return Detector([t for k, t in rows if k > 0], [t for k, t in rows if k <= 0], (1 / rates.get(0, 1.0), 1 / rates.get(1, 1.0)))
 
 
 def score(docs: DataFrame, detector: Detector, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
