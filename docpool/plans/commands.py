@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,8 +124,6 @@ def chunk_lines(chunks: DataFrame) -> DataFrame:
 
     Fields that the schema knows are written from it; unknown ones are taken over from the raw line.
     """
-    import pandas as pd
-
     given = F.to_json(F.struct("texts", "images", "orig_id", "chunk_idx", "chunk_chapter_level", "chunk_title_idx", F.col("record_id").alias("id")), {"ignoreNullFields": "false"})
 
     @F.pandas_udf("string")

@@ -54,8 +54,12 @@ def parse_strict(lines: DataFrame) -> DataFrame:
 
 
 def parse_loose(lines: DataFrame) -> DataFrame:
-    """Records as `rec`; broken lines are skipped too. The test of the whole line is a JSON parse of its own."""
-    return lines.where(_is_object(F.col("value")) & F.get_json_object("value", "$").isNotNull()).withColumn("rec", F.from_json("value", RECORD))
+    """Records as `rec`; broken lines are skipped too.
+
+    Whether a line is broken is asked of a parse without fields: a field of another type breaks none.
+    """
+    broken = F.from_json("value", "`_none` STRING, `_broken` STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})["_broken"]
+    return lines.where(_is_object(F.col("value")) & broken.isNull()).withColumn("rec", F.from_json("value", RECORD))
 
 
 def read_records(spark: SparkSession, paths: str | list[str], shards: str = SHARDS, strict: bool = True, folder_depth: int = 2) -> DataFrame:
