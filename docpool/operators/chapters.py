@@ -140,3 +140,30 @@ def with_chapters(records: DataFrame, layouts: DataFrame, params: SliceParams, w
 
     result = cut("value", "_raw", "_clean", "_clean_path", "_levels", "_first", "_last")
     return joined.withColumn("_cut", result).select(*records.columns, F.col("_cut.chapters").alias("chapters"), F.col("_cut.error").alias("error"))
+
+
+def records_of_intervals(layout: dict, intervals: list[tuple[L.Position, L.Position]], folder: str, roots: tuple[str, str, str] | None = None, extra: dict | None = None) -> tuple[list[dict], list[tuple]]:
+    """A record for each interval of a layout, and the intervals without content.
+
+    folder: of the layout. roots: folders of originals, layouts and cleaned layouts, to say the record's
+    addresses by; the folder's place below the second is the same below the others.
+    """
+    kinds = L.image_paths(layout)
+    rendered = Rendered(layout, {}, L.policy_of(*(bool(kinds[k]) for k in ("image", "table", "interline_equation"))))
+    found, empty = [], []
+    for start, end in intervals:
+        a, b = rendered.range(start, end)
+        texts, images = L.slots(rendered.texts[a:b])
+        if not texts:
+            empty.append((start, end))
+            continue
+        n = sum(i is not None for i in images)
+        record = {"texts": texts, "images": images, "text_cnt": len(texts) - n, "img_cnt": n, "md_dir": folder, "page_location": [list(start), list(end)], **(extra or {})}
+        if roots:
+            below = folder.removeprefix(roots[1])
+            name = os.path.basename(below)
+            # an original without a name is its folder's
+            original = f"{roots[0]}{below}" if name.lower() == ".pdf" else f"{roots[0]}{below}.pdf"
+            record["meta_info"] = {"address": {"s3_origin_address": original, "s3_parse_address": f"{folder}/{name}_middle.json", "s3_clean_address": f"{roots[2]}{below}/{name}_cleaned_middle.json"}}
+        found.append(record)
+    return found, empty

@@ -207,3 +207,29 @@ def test_paragraphs_lose_no_line(blocks):
     out = split(*[text_block(*b) for b in blocks])
     assert sum(len(b["lines"]) for b in out) == sum(map(len, blocks)) and len(out) == len(blocks)
     json.dumps(out)
+
+
+# --- images and records of intervals -----------------------------------------------------------
+
+
+def test_image_sizes(spark):
+    import struct
+
+    from pyspark.sql import functions as F
+
+    from docpool.functions.images import image_size, size_of
+
+    png = b"\x89PNG\r\n\x1a\n" + b"\0" * 8 + struct.pack(">II", 3, 4)
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x0b\x08" + struct.pack(">HH", 7, 5)
+    assert [image_size(x) for x in (png, b"GIF89a" + struct.pack("<HH", 1, 2), jpeg, b"", None, b"\xff\xd8\xff", b"text")] == [(3, 4), (1, 2), (5, 7)] + [(-1, -1)] * 4
+    rows = spark.createDataFrame([(bytearray(png),), (None,)], "c binary").select(size_of(F.col("c")).alias("s")).select("s.*").collect()
+    assert [tuple(r) for r in rows] == [(3, 4), (-1, -1)]
+
+
+def test_records_of_intervals():
+    from docpool.operators.chapters import records_of_intervals
+
+    document = {"pdf_info": [{"page_idx": 0, "para_blocks": [block("title", span("T")), image()]}, {"page_idx": 1, "para_blocks": [block("header", span("h"))]}]}
+    found, empty = records_of_intervals(document, [((0, -1), (1, 0)), ((1, -1), (2, 0))], "/m/d/x", ("/o", "/m", "/c"), {"k": 1})
+    assert empty == [((1, -1), (2, 0))] and found[0]["texts"] == ["T", None] and found[0]["img_cnt"] == 1 and found[0]["k"] == 1
+    assert found[0]["meta_info"]["address"] == {"s3_origin_address": "/o/d/x.pdf", "s3_parse_address": "/m/d/x/x_middle.json", "s3_clean_address": "/c/d/x/x_cleaned_middle.json"}
