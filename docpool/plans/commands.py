@@ -148,25 +148,28 @@ def make_data(records: DataFrame, layouts: DataFrame | None, cfg: MakeDataConfig
     Gates, then first-seen over the whole pool, then chapters. Only records that can be cut are joined
     to layouts. A record that isn't cut is put out whole, or not, as the configuration says.
     """
-    marked = records.withColumn("_pass", gates.passes(cfg.gates, cfg.split_enabled))
-    passed = marked.where("_pass")
-    kept = dedupe.first_seen(passed, "pdf_md5") if cfg.dedupe else passed
-    can = chapters.splittable() if cfg.split_enabled and cfg.split_records and layouts is not None else F.lit(False)
-    whole = kept.where(~can).select("dataset", "shard", F.struct("place", F.lit(0).alias("index")).alias("place"), "value")
-    out, errors = whole, None
-    if cfg.split_enabled and cfg.split_records and layouts is not None:
-        cut = chapters.with_chapters(kept.where(can), layouts, cfg.slices, cfg.gates.chapter_level)
+    passes, splits = gates.passes(cfg.gates, cfg.split_enabled), cfg.split_enabled and cfg.split_records and layouts is not None
+    marked = records.withColumn("_pass", passes)
+    keep = F.col("_pass")
+    if cfg.dedupe:
+        # rows without a fingerprint meet no first place and stay
+        marked = marked.join(dedupe.first_places(records.where(passes)), "pdf_md5", "left")
+        keep = keep & F.coalesce(F.col("place") == F.col("first_place"), F.lit(True))
+    marked = marked.withColumn("_keep", keep).withColumn("_cut", (chapters.splittable() if splits else F.lit(False)) & F.col("_keep"))
+    out = marked.where("_keep and not _cut").select("dataset", "shard", F.struct("place", F.lit(0).alias("index")).alias("place"), "value")
+    counts = marked.groupBy("dataset").agg(F.count("*").alias("lines_in"), F.count_if("_pass").alias("lines_pass_gate"), F.count_if(~F.col("_pass")).alias("skipped_gate"), F.count_if("_keep").alias("kept"), F.count_if(F.col("_keep") & ~F.col("_cut")).alias("whole"))
+    if splits:
+        cut = chapters.with_chapters(marked.where("_cut").select(records.columns), layouts, cfg.slices, cfg.gates.chapter_level)
         original = F.when(F.lit(cfg.emit_original_when_split_empty), F.array(F.struct(F.lit(0).alias("index"), F.col("value").alias("value")))).otherwise(F.array().cast(chapters.CHAPTERS))
-        lines = cut.select("dataset", "shard", "place", F.explode(F.when(F.size("chapters") > 0, F.col("chapters")).otherwise(original)).alias("c"))
-        out = whole.union(lines.select("dataset", "shard", F.struct("place", F.col("c.index").alias("index")).alias("place"), F.col("c.value").alias("value")))
-        errors = cut.groupBy("dataset").agg(F.count("error").alias("errors"), F.count_if(F.size("chapters") > 0).alias("split_batches"))
-    counts = marked.groupBy("dataset").agg(F.count("*").alias("lines_in"), F.count_if("_pass").alias("lines_pass_gate"), F.count_if(~F.col("_pass")).alias("skipped_gate"))
-    counts = counts.join(kept.groupBy("dataset").agg(F.count("*").alias("kept")), "dataset", "left")
-    counts = counts.join(out.groupBy("dataset").agg(F.count("*").alias("lines_out")), "dataset", "left")
-    counts = counts.join(errors, "dataset", "left") if errors is not None else counts.withColumns({"errors": F.lit(0), "split_batches": F.lit(0)})
+        cut = cut.withColumn("lines", F.when(F.size("chapters") > 0, F.col("chapters")).otherwise(original))
+        lines = cut.select("dataset", "shard", "place", F.explode("lines").alias("c"))
+        out = out.union(lines.select("dataset", "shard", F.struct("place", F.col("c.index").alias("index")).alias("place"), F.col("c.value").alias("value")))
+        counts = counts.join(cut.groupBy("dataset").agg(F.count("error").alias("errors"), F.count_if(F.size("chapters") > 0).alias("split_batches"), F.sum(F.size("lines")).alias("parts")), "dataset", "left")
+    else:
+        counts = counts.withColumns({"errors": F.lit(0), "split_batches": F.lit(0), "parts": F.lit(0)})
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    names = ("lines_in", "lines_pass_gate", "skipped_gate", "lines_out", "errors", "split_batches")
-    return out, counts.select("dataset", *[zero(n).alias(n) for n in names], (F.col("lines_pass_gate") - zero("kept")).alias("dedupe_skipped"))
+    numbers = {n: zero(n) for n in ("lines_in", "lines_pass_gate", "skipped_gate", "errors", "split_batches")} | {"lines_out": F.col("whole") + zero("parts"), "dedupe_skipped": F.col("lines_pass_gate") - F.col("kept")}
+    return out, counts.select("dataset", *[c.alias(n) for n, c in numbers.items()])
 
 
 def make_data_pool(spark: SparkSession, pool: str, out: str, version: str, cfg: MakeDataConfig, layouts: DataFrame | None = None, dataset: str = "", folder: str = jsonl.FOLDER, shards: str = jsonl.SHARDS) -> dict:

@@ -118,3 +118,22 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir):
     for f in (lambda d: dedupe.first_seen(d).select("doc_id"), lambda d: sampling.quota_sample(d, {"00": 5, "03": 9}, 1), lambda d: sampling.sample(d, 17, 5, "record_id").select("doc_id")):
         a, b = ({tuple(r) for r in f(d).collect()} for d in (rows, rows.repartition(7, F.rand(3))))
         assert a == b
+
+
+def test_make_data_with_chapters(spark, tmp_path):
+    page = lambda p: {"page_idx": p, "para_blocks": [{"type": "title", "lines": [{"spans": [{"type": "text", "content": f"t{p}"}]}]}, {"type": "text", "lines": [{"spans": [{"type": "text", "content": "w" * 200}]}]}]}
+    layout = json.dumps({"pdf_info": [page(p) for p in range(4)]})
+    cut = record("m", id="r", img_cnt=0, text_cnt=2)
+    cut["meta_info"] |= {"chapter_info": {"0": 1, "2": 1}, "address": {"s3_parse_address": "/p/raw.json", "s3_clean_address": "/p/doc/clean.json"}}
+    lost = json.loads(json.dumps(cut)) | {"pdf_md5": "lost"}
+    lost["meta_info"]["chapter_info"] = {"77": 1}
+    pool(tmp_path, {"d/jsonl_res/data_0000.jsonl": [cut, cut, lost, record("plain")]})
+    layouts = spark.createDataFrame([("/p/raw.json", layout), ("/p/doc/clean.json", layout)], "path string, content string")
+    cfg = config.make_config_from_dict({"gates": {"chapter_level": 1}, "chapter_split": {"enabled": True, "min_page_num": 2, "min_imgs_count": 0}})
+    records = jsonl.read_pool(spark, str(tmp_path))
+    out, counters = commands.make_data(records, layouts, cfg)
+    rows = [json.loads(r["value"]) for r in out.orderBy("place").collect()]
+    assert [(r["pdf_md5"], r["id"]) for r in rows] == [("m_chapter_0", "r_chapter_0"), ("m_chapter_1", "r_chapter_1"), ("lost", "r"), ("plain", "r1")]
+    assert rows[0]["texts"] == ["# t0", "w" * 200, "t1", "w" * 200] and rows[0]["page_location"] == [[0, -1], [2, 0]] and rows[0]["unknown"] == {"kept": [1.5, None]}
+    got = counters.first().asDict()
+    assert {k: got[k] for k in ("lines_in", "lines_out", "errors", "split_batches", "dedupe_skipped")} == {"lines_in": 4, "lines_out": 4, "errors": 1, "split_batches": 1, "dedupe_skipped": 1}
