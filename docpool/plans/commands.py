@@ -28,9 +28,11 @@ def analyze(spark: SparkSession, dataset_dir: str, dataset: str, out: str, *, sa
     records = jsonl.read_records(spark, dataset_dir, shards)
     if max_records is not None:
         records = records.orderBy("place").limit(max_records)
-    flat = records.select("value", "image_num", "token_total", *stats.DIMENSIONS.values(), "layout_score", "nsfw_score", "levels").persist()
+    # a fingerprint of the line stands for it: what is kept between the passes is small
+    line = F.md5(F.col("value").cast("binary")).alias("line_key")
+    flat = records.select(line, "image_num", "token_total", *stats.DIMENSIONS.values(), "layout_score", "nsfw_score", "levels").persist()
     try:
-        drawn = sampling.sample(flat, sample_size, seed, "value").persist()
+        drawn = sampling.sample(flat, sample_size, seed, "line_key").persist()
         document = stats.stats_document(flat, dataset, drawn)
         folder = f"{out.rstrip('/')}/{dataset}/analysis"
         plots = {f"hist_{c}": [list(r) for r in stats.histogram(drawn, c).orderBy("bin").collect()] for c in ("token_total", "image_num")}
