@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -301,6 +300,41 @@ def text_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standin.table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.parts(block), "|").alias("parts"))
 
 
+@query(
+    f"""WITH p AS (SELECT doc_id, [trim(split_part(text, chr(10), 1)), {_LINK}, trim(split_part(text, chr(10), 2)), '<table>' || lang || '</table>'] AS parts FROM documents),
+    f AS (SELECT doc_id, list_filter(parts, lambda x: NOT regexp_matches(x, '^[#$\s]*$')) AS parts FROM p),
+    u AS (SELECT doc_id, unnest(range(0, len(parts)))::INT AS slot, unnest(parts) AS part FROM f)
+    SELECT doc_id, slot, part LIKE '![](%.jpg)' AS is_image, CASE WHEN part LIKE '![](%.jpg)' THEN part[5:-2] ELSE part END AS content FROM u"""
+)
+def text_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = lambda k: F.split_part(F.col("text"), F.lit("\n"), F.lit(k))
+    link = F.concat(F.lit("![](images/"), F.md5(F.col("text").cast("binary")), F.md5(F.col("lang").cast("binary")), F.lit(".jpg)"))
+    block = F.concat(line(1), F.lit(" "), link, line(2), F.lit("<table>"), F.col("lang"), F.lit("</table> # $"))
+    rows = standin.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.parts(block)).alias("slot", "part"))
+    image = text.is_image_part(F.col("part"))
+    return rows.select("doc_id", "slot", image.alias("is_image"), F.when(image, text.image_path(F.col("part"))).otherwise(F.col("part")).alias("content"))
+
+
+@query(f"WITH {SLOTS_SQL} SELECT d.doc_id, slot::INT AS slot, lang || '/' || slot || '.jpg' AS path, CASE WHEN slot % 2 = 0 THEN slot ELSE -1 END::INT AS width FROM blk JOIN documents d USING (doc_id) WHERE n % 7 = 0")
+def image_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image objects taken over from a map by path, then named by folder."""
+    kind = "array<struct<relative_img_path: string, width: int>>"
+    rows = standin.slot_records(spark, sf_dir).join(standin.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    own = F.transform("images", lambda x: F.when(x.isNotNull(), F.struct(x["relative_img_path"].alias("relative_img_path"), F.lit(-1).alias("width")))).cast(kind)
+    sized = F.transform("images", lambda x, i: F.when(x.isNotNull() & (i % 2 == 0), F.struct(x["relative_img_path"].alias("relative_img_path"), i.alias("width"))))
+    known = F.map_from_entries(F.transform(F.filter(sized.cast(kind), lambda x: x.isNotNull()), lambda x: F.struct(x["relative_img_path"].alias("key"), x.alias("value"))))
+    named = accessors.renamed_images(accessors.backfilled_images(own, known), F.col("lang"))
+    exploded = rows.select("doc_id", F.posexplode(named).alias("slot", "i")).where("i is not null")
+    return exploded.select("doc_id", "slot", F.col("i.relative_img_path").alias("path"), "i.width")
+
+
+@query(f"WITH {SLOTS_SQL} SELECT doc_id, coalesce(min(slot % 4 + 1) FILTER (title AND slot % 4 + 1 >= 1 + doc_id % 4), 0)::INT AS level FROM blk GROUP BY doc_id")
+def title_start_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.slot_records(spark, sf_dir)
+    level = intervals.start_level(F.array_distinct(F.map_values("title_levels")), (1 + F.col("doc_id") % 4).cast("int"))
+    return rows.select("doc_id", F.coalesce(level, F.lit(0)).alias("level"))
+
+
 @query(
     f"""WITH b AS (SELECT doc_id, doc_id % 3 AS k, text FROM documents)
     SELECT doc_id, (doc_id % 3)::INT AS n_images, list_sum(list_transform(string_split(text, chr(10)), lambda s: length(trim(s))))::BIGINT AS n_chars FROM b"""
@@ -400,8 +434,3 @@ def paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = made.select("doc_id", F.from_json(paragraphs.with_paragraphs(F.col("c")), schema).alias("d"))
     blocks = F.flatten(F.transform("d.pdf_info", lambda p: p["para_blocks"]))
     return done.select("doc_id", F.size(blocks).alias("n_blocks"), F.size(F.filter(blocks, lambda b: b["lines_deleted"])).alias("n_joined"))
-
-
-def stats_json(spark: SparkSession, sf_dir: str) -> str:
-    """The profile of all records, as the command writes it."""
-    return json.dumps(stats.stats_document(standin.records(spark, sf_dir), "all"))
