@@ -32,7 +32,7 @@ from docpool.llm import common
 TRAIN_DOCS = 1500
 BITS = 16
 STEPS = 8
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile(r"[A-Za-z]")
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[:128] = 0x20
 _FOLD[97:123] = _FOLD[65:91] = np.arange(97, 123)
@@ -47,6 +47,10 @@ def trigrams(data: np.ndarray) -> np.ndarray:
     return ((codes * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
+def has_letter(text: str) -> bool:
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 class Mixture:
     """Learned distributions of languages."""
 
@@ -123,7 +127,7 @@ def _judge(model: Mixture, batch: pa.RecordBatch, text_col: str) -> list[tuple]:
     data, ends = common.utf8(column)
     out = []
     for text, a, b in zip(column.to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
-        if not text or not _LETTER.search(text):
+        if not text or not has_letter(text):
             out.append((-1, 0.0, {}, True))
         else:
             lang, score, mix, bad = model.infer(data[a:b])

@@ -8,7 +8,6 @@ from brute import distance, line_links, near_duplicates, roots, shingles
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import same
-from pyspark.sql import functions as F
 
 from docpool.llm import common, decontaminate, line_dedup, near_dedup
 from docpool.llm import queries as Q
