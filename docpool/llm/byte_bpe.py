@@ -22,6 +22,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,24 @@ from tokenizers import Tokenizer
 from docpool.llm import common
 from docpool.llm.chunk_memo import Memo
 
-_ODD = re.compile(r" \s| \Z|\A\s")
+#: A space before white space: it doesn't begin a match. Characters of Python's \\s.
+_RUNS = [" " + chr(c) for c in range(0x3001) if chr(c).isspace()]
+_ASCII_RUNS = [r for r in _RUNS if r.isascii()]
 _CUT = re.compile(r"(?= \S)")
+#: Letters below U+0250, then ASCII punctuation without the apostrophe, with which other matches begin.
+_PLAIN = re.compile(r"([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 
-def cut_chunks(text: str) -> list[str]:
-    """The text, cut before each space that another character than white space follows."""
-    if _ODD.search(text) is None:
+def cut_chunks(text: str) -> tuple[str, list[str]]:
+    """The text before its first cut, and what follows the space of each cut.
+
+    Cuts are before each space that another character than white space follows.
+    """
+    if not any(map(text.__contains__, _ASCII_RUNS if text.isascii() else _RUNS)) and text[-1:] != " ":
         first, *rest = text.split(" ")
-        return [first, *(" " + x for x in rest)]
-    return [x for x in _CUT.split(text) if x]
+        return first, rest
+    first, *rest = _CUT.split(text)
+    return first, [x[1:] for x in rest]
 
 
 # --- the alphabet ------------------------------------------------------------------------------
@@ -56,6 +65,7 @@ def byte_letters() -> list[str]:
 
 
 _LETTERS = dict(enumerate(byte_letters()))
+_SPACE = byte_letters()[32]
 
 
 def to_letters(raw: bytes) -> str:
@@ -106,7 +116,8 @@ class Codec:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(pieces), np.uint8)
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.memo = Memo(self._ids)
+        self.words = Memo(self._word_ids)
+        self.marks = Memo(lambda marks: [self._merged(m) for m in marks])
 
     @classmethod
     @lru_cache(2)
@@ -122,36 +133,43 @@ class Codec:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk. A chunk of letters is one match of the pattern and goes to the merges
-        directly; the other chunks that begin with a space are encoded as one text, which the pattern
-        cuts before each of them; what is left is encoded one by one.
+    def _merged(self, text: str) -> bytes:
+        """Ids of one match of the pattern."""
+        letters = text.replace(" ", _SPACE) if text.isascii() else to_letters(text.encode())
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _marked(self, marks: str) -> bytes:
+        return self.marks.known.get(marks) or self.marks.values([marks])[0]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it.
+
+        Letters, and punctuation after them, are two matches of the pattern and go to the merges
+        directly. All other words are encoded as one text, which the pattern cuts before each space.
         """
-        out: list[bytes] = [b""] * len(chunks)
-        merge, space, joined, single = self.tokenizer.model.tokenize, to_letters(b" "), [], []
-        for k, w in enumerate(chunks):
-            bare = w.removeprefix(" ")
-            if bare.isalpha() and max(bare) < "\u0250":
-                letters = w.replace(" ", space) if w.isascii() else to_letters(w.encode())
-                out[k] = array("I", [t.id for t in merge(letters)]).tobytes()
-            elif w[:1] == " " and not any(s in w for s in self.special):
-                joined.append(k)
+        out: list[bytes] = [b""] * len(words)
+        known, joined = self.words.known, []
+        for k, w in enumerate(words):
+            if plain := _PLAIN(w):
+                stem, marks = plain.groups()
+                ids = known.get(stem) if marks else None
+                out[k] = (ids or self._merged(" " + stem)) + (marks and self._marked(marks) or b"")
             else:
-                single.append(k)
-        for k, x in zip(single, self._whole([chunks[k] for k in single])):
-            out[k] = x
+                joined.append(k)
         if joined:
-            raw = self._whole(["".join(chunks[k] for k in joined)])[0]
+            raw = self._whole(["".join(" " + words[k] for k in joined)])[0]
             stops = np.cumsum(self.sizes[np.frombuffer(raw, "<u4")])
-            cuts = np.searchsorted(stops, np.cumsum([len(chunks[k].encode()) for k in joined])) + 1
+            cuts = np.searchsorted(stops, np.cumsum([len(words[k].encode()) + 1 for k in joined])) + 1
             for k, a, b in zip(joined, [0, *cuts[:-1].tolist()], cuts.tolist()):
                 out[k] = raw[4 * a : 4 * b]
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # a special string could reach over a cut: such texts go to the library whole
-        cut = [[t] if any(s in t for s in self.special) else cut_chunks(t) for t in texts]
-        return [b"".join(x) for x in self.memo.rows(cut)]
+        cut = [(t, []) if any(s in t for s in self.special) else cut_chunks(t) for t in texts]
+        firsts = self._whole([first for first, _ in cut])
+        flat = iter(self.words.values([w for _, words in cut for w in words]))
+        return [first + b"".join(islice(flat, len(words))) for first, (_, words) in zip(firsts, cut)]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes that the ids stand for."""

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from itertools import islice
 from typing import TypeVar
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 T = TypeVar("T")
-MOST = 400_000
+MOST = 800_000
 #: Longer chunks are encoded each time.
 LONGEST = 48
 
@@ -26,16 +27,23 @@ class Memo:
     def __init__(self, encode: Callable[[list[str]], list[T]]):
         self.encode, self.known = encode, {}
 
-    def rows(self, cut: list[list[str]]) -> list[list[T]]:
-        """For each text, given as its chunks, the values of its chunks."""
+    def values(self, chunks: list[str]) -> list[T]:
+        """The value of each chunk, in order."""
         known = self.known
-        new = list({w for x in cut for w in x if w not in known})
-        if len(known) + len(new) > MOST:
-            known = self.known = {w: known[w] for x in cut for w in x if w in known}
-        known.update(zip(new, self.encode(new) if new else []))
-        get = known.__getitem__
-        out = [list(map(get, x)) for x in cut]
-        for w in new:
-            if len(w) > LONGEST:
-                del known[w]
+        out = list(map(known.get, chunks))
+        missing = [i for i, v in enumerate(out) if v is None]
+        if missing:
+            new = list({chunks[i] for i in missing})
+            if len(known) + len(new) > MOST:
+                # what this call needs of the old entries stays
+                known = self.known = {w: v for w, v in zip(chunks, out) if v is not None}
+            fresh = dict(zip(new, self.encode(new)))
+            known.update((w, v) for w, v in fresh.items() if len(w) <= LONGEST)
+            for i in missing:
+                out[i] = fresh[chunks[i]]
         return out
+
+    def rows(self, cut: list[list[str]]) -> list[list[T]]:
+        """For each text, given as its chunks, the values of its chunks."""
+        flat = iter(self.values([w for x in cut for w in x]))
+        return [list(islice(flat, len(x))) for x in cut]
