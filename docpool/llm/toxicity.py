@@ -11,7 +11,7 @@ Calibration, on the learning rows: a logistic function of the bytes that countin
 largest gain and the number of windows; the least gain at which a window counts is the one that
 predicts the labels best.
 
-Learning is from a sample of labelled rows, TRAIN_BYTES of each class on average, drawn by a hash of
+Learning is from a sample of labelled rows, TRAIN_BYTES or TRAIN_ROWS of each class on average, drawn by a hash of
 the id.
 
 Defined results: null and empty texts have no windows and get the score of such a text; without labelled rows
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from docpool.llm import common
 
-#: Bytes of sampled text in a class, on average.
-TRAIN_BYTES = 8_000_000
+#: Bytes of sampled text and sampled rows in a class, on average: whichever is fewer.
+TRAIN_BYTES, TRAIN_ROWS = 8_000_000, 20_000
 WINDOW, TAIL = 40, 64
 COMMON_BYTES, OWN_BYTES = 24_000, 6_000
 #: Least log-likelihood ratio (G squared) for a beginning of words to be peculiar to a class.
@@ -144,7 +144,7 @@ class Detector:
     def _features(self, gains: list[int], least: int) -> list[float]:
         """Of a text: what its counting windows gain together, the largest gain, its length."""
         total = sum(g for g in gains if g >= least)
-        return [1.0, math.log1p(total), math.log1p(max(gains, default=0)), math.log1p(len(gains)), total / (len(gains) + 4)]
+        return [1.0, math.log1p(total), math.log1p(max([0, *gains])), math.log1p(len(gains)), total / (len(gains) + 4)]
 
     def _calibrate(self, classes: list[list[bytes]], weights: tuple[float, float]) -> None:
         gains = [[self.gains(t) for t in texts] for texts in classes]
@@ -176,7 +176,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     # mean bytes of a text, for how many rows to draw
     mean = texts.agg(F.avg(F.octet_length("text"))).first()[0] or 1.0
     there = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
-    rates = {k: min(1.0, sample_bytes / mean / n) for k, n in there.items()}
+    rates = {k: min(1.0, sample_bytes / mean / n, TRAIN_ROWS / n) for k, n in there.items()}
     drawn = marks.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1_000_003)) < F.when(F.col("label") > 0, F.lit(rates.get(1, 0.0))).otherwise(F.lit(rates.get(0, 0.0))) * 1_000_003)
     # bounded by what is drawn: some thousand ids
     got = texts.join(F.broadcast(drawn), "doc_id").where("text is not null").select("label", "text").toArrow()
