@@ -8,10 +8,9 @@ Jaccard similarity given how many registers are greater, smaller and equal; what
 on the full shingle sets.
 
 Equal sets are one class from the start, so that copies are never paired. Links between classes are
-then sought in three rounds, each over what the earlier ones left apart: the smallest member of
-each bucket; a maximum spanning forest of estimated similarity in each bucket; all pairs that are
-still in different components. Large buckets are dealt out in pairs of blocks. No round caps or
-drops candidates. 32 bands of 4 registers miss a pair at similarity 0.75 with probability 6e-6.
+then sought in two rounds: of each class with the most promising of its buckets' smallest members; and
+between all members of a bucket that are still in different components, large buckets being dealt out
+in pairs of blocks. Neither caps or drops candidates; pairs never leave the task that verifies them. 32 bands of 4 registers miss a pair at similarity 0.75 with probability 6e-6.
 
 Defined results: null or wordless texts have an empty set and are linked with nothing; rows that
 share a doc_id count as one document; a null doc_id has null component_id and is kept; an empty
@@ -36,8 +35,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65_534
 PERCENT = 75
 #: A candidate goes on if similarity 0.75 is no less likely than exp(-SLACK) times the best estimate.
 SLACK = 12.0
-#: Members of a bucket that are compared in one go.
-BLOCK = 1500
+#: Members of a bucket, and shingles of theirs, that make a block.
+BLOCK, BLOCK_SHINGLES = 1500, 4_000_000
 
 _rng = np.random.RandomState(77)
 _ODD = _rng.randint(0, 1 << 62, REGISTERS, dtype=np.uint64) * np.uint64(4) + np.uint64(1)
@@ -142,9 +141,9 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
-    """(key, rep): a row for each band of each class."""
+    """(key, band, rep): a row for each band of each class."""
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", 1 + i * ROWS * 2, ROWS * 2)) for i in range(BANDS)])
-    return classes.select("rep", F.explode(keys).alias("key"))
+    return classes.select("rep", F.posexplode(keys).alias("band", "key"))
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -165,84 +164,121 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "n1", "r1", "n2", "r2").mapInArrow(test, "a long, b long, score double")
 
 
-def _pairs_in(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, regs: np.ndarray, first: np.ndarray, forest: bool) -> list[tuple[int, int, float]]:
-    """Plausible pairs of a group in different components; first: marks one block when two meet.
+class Group:
+    """Members of a bucket, or of two blocks of it, that are compared in one go."""
+
+    def __init__(self, held: list[pa.RecordBatch]):
+        self.table = pa.Table.from_batches(held).combine_chunks()
+        col = lambda name: self.table.column(name).to_numpy()
+        self.ids, self.comp, self.n, self.own = col("rep"), col("comp"), col("n"), col("own")
+        self.band = self.table.column("band")[0].as_py()
+        self.halves = self.table.column("i")[0].as_py() != self.table.column("j")[0].as_py()
+        self.regs = np.frombuffer(b"".join(self.table.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(member, others, scores) of plausible pairs in different components.
+
+        A pair that shares several bands is looked at in the first of them only.
+        """
+        for i in range(len(self.ids) - 1):
+            rest = slice(i + 1, None)
+            ok = (self.comp[rest] != self.comp[i]) & (100 * np.minimum(self.n[rest], self.n[i]) >= PERCENT * np.maximum(self.n[rest], self.n[i]))
+            if self.halves:
+                ok &= self.own[rest] != self.own[i]
+            j = np.flatnonzero(ok) + i + 1
+            if len(j) == 0:
+                continue
+            same = self.regs[j] == self.regs[i]
+            first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
+            j = j[(same.sum(1) >= REGISTERS // 2) & (first == self.band)]
+            if len(j) == 0:
+                continue
+            score, near = estimate(np.broadcast_to(self.regs[i], (len(j), REGISTERS)), np.full(len(j), self.n[i]), self.regs[j], self.n[j])
+            yield i, j[near], score[near]
 
-    forest: only pairs that join what was apart, the most similar first.
-    """
-    found = []
-    for i in range(len(ids) - 1):
-        rest = slice(i + 1, None)
-        ok = (comp[rest] != comp[i]) & (100 * np.minimum(n[rest], n[i]) >= PERCENT * np.maximum(n[rest], n[i]))
-        if first is not None:
-            ok &= first[rest] != first[i]
-        j = np.flatnonzero(ok) + i + 1
-        if len(j) == 0:
-            continue
-        j = j[(regs[j] == regs[i]).sum(1) >= REGISTERS // 2]
-        if len(j) == 0:
+
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[Group]:
+    """Groups of rows sorted by key, i and j."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        score, near = estimate(np.broadcast_to(regs[i], (len(j), REGISTERS)), np.full(len(j), n[i]), regs[j], n[j])
-        found += [(i, k, s) for k, s in zip(j[near].tolist(), score[near].tolist())]
-    if forest:
-        parent: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while parent.get(x, x) != x:
-                x = parent[x]
-            return x
-
-        kept = []
-        for i, k, s in sorted(found, key=lambda f: -f[2]):
-            p, q = top(int(comp[i])), top(int(comp[k]))
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                kept.append((i, k, s))
-        found = kept
-    return [(int(min(ids[i], ids[k])), int(max(ids[i], ids[k])), s) for i, k, s in found]
-
-
-def apart(bands: DataFrame, classes: DataFrame, roots: DataFrame, forest: bool) -> DataFrame:
-    """(a, b, score): plausible pairs that share a bucket and are in different components yet."""
-    named = bands.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("comp"))
-    active = named.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = named.join(active, "key")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    # block k of a bucket meets every block: (k, k), (k, j) for j above and (i, k) for i below
+        key, i, j = (batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in ("key", "i", "j"))
+        cuts = (np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1).tolist()
+        for s, e in zip([0, *cuts], [*cuts, batch.num_rows]):
+            group = (key[s], i[s], j[s])
+            if now is not None and group != now:
+                yield Group(held)
+                held = []
+            now = group
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield Group(held)
+
+
+def links_apart(bands: DataFrame, classes: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links that join components which share a bucket.
+
+    Of every bucket with several components, members are compared by their registers; those that are
+    in a plausible pair come again with their sets, and the pairs are verified where they meet, the most
+    similar first. Pairs that links found there have joined already need no more verification, so a
+    bucket of m members gives less than m links.
+    """
+    named = bands.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "band", "rep", F.coalesce("root", "rep").alias("comp"))
+    active = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    rows = common.written(named.join(active, "key").join(classes.select("rep", "n", "regs"), "rep"), "active")
+    # blocks of so many members and shingles that two of them, with their sets, fit in a task
+    blocks = rows.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    # a block of a bucket meets every block: groups (own, j) for j from own on, and (i, own) below
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
-    dealt = rows.withColumn("own", own).select("key", "rep", "comp", "own", F.explode(meet).alias("ij")).select("key", "rep", "comp", "own", "ij.i", "ij.j")
-    full = dealt.join(classes.select("rep", "n", "regs"), "rep")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        now = None
-
-        def done() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            col = lambda name: t.column(name).to_numpy()
-            regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
-            out = _pairs_in(col("rep"), col("comp"), col("n"), regs, None if same else col("own"), forest)
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "score"])
+    dealt = rows.select("key", "band", "rep", "comp", "own", "n", "regs", F.explode(meet).alias("ij"))
+    schema = "key long, band int, rep long, comp long, own int, i int, j int, n long, regs binary"
+    names = [x.split()[0] for x in schema.split(", ")]
+    n = int(bands.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, i, j = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 4, 5))
-            cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-                group = (key[s], i[s], j[s])
-                if now is not None and group != now:
-                    yield done()
-                    held = []
-                now = group
-                held.append(batch.slice(s, e - s))
-        if held:
-            yield done()
+    def gathered(df: DataFrame) -> DataFrame:
+        return df.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in by_group(batches):
+            marked = np.zeros(len(group.ids), bool)
+            for i, others, _ in group.pairs():
+                marked[others] = True
+                marked[i] |= len(others) > 0
+            if marked.any():
+                yield from group.table.filter(pa.array(marked)).to_batches()
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in by_group(batches):
+            found = sorted(((s, i, int(k)) for i, others, scores in group.pairs() for k, s in zip(others, scores)), key=lambda f: -f[0])
+            texts = group.table.column("shingles")
+            own = [np.frombuffer(texts[i].as_buffer(), np.uint64) for i in range(len(texts))]
+            top: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while x in top:
+                    x = top[x]
+                return x
+
+            out = []
+            for _, i, k in found:
+                p, q = root(int(group.comp[i])), root(int(group.comp[k]))
+                if p == q:
+                    continue
+                both = np.concatenate((own[i], own[k]))
+                both.sort()
+                if linked(np.count_nonzero(both[1:] == both[:-1]), len(own[i]), len(own[k])):
+                    top[max(p, q)] = min(p, q)
+                    out.append((int(group.ids[i]), int(group.ids[k])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    n = int(bands.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt_out = full.select("key", "rep", "comp", "own", "i", "j", "n", "regs").repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
-    return dealt_out.mapInArrow(compare, "a long, b long, score double").groupBy("a", "b").agg(F.max("score").alias("score"))
+    full = gathered(dealt.select("key", "band", "rep", "comp", "own", "ij.i", "ij.j", "n", "regs"))
+    again = common.written(full.mapInArrow(promising, schema), "promising")
+    met = again.join(sets.select(F.col("doc_id").alias("rep"), "shingles"), "rep").select(*names, "shingles")
+    return gathered(met).mapInArrow(confirm, "a long, b long").distinct()
 
 
 # --- the operator ------------------------------------------------------------------------------
@@ -259,17 +295,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # buckets of two or more classes
     bands = band_rows(classes)
     shared = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1")
-    bands = common.written(bands.join(shared.hint("shuffle_hash"), "key").select("key", "rep", "least"), "buckets")
+    bands = common.written(bands.join(shared.hint("shuffle_hash"), "key").select("key", "band", "rep", "least"), "buckets")
     sets = common.written(shingle_sets(docs, bands.select(F.col("rep").alias("doc_id")).distinct()), "sets")
     # first round: the most promising of the buckets' smallest members
     stars = plausible(bands.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct(), classes)
     links = common.written(verify(stars.groupBy("b").agg(F.max_by("a", F.struct("score", -F.col("a"))).alias("a")), sets), "links")
     roots = common.components(links)
-    # second round: a forest of the most similar pairs; third: every pair that is still apart
-    for forest in (True, False):
-        pairs = common.written(apart(bands.select("key", "rep"), classes, roots, forest), "pairs")
-        links = common.written(verify(pairs, sets).union(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))), "links")
-        roots = common.components(links)
+    # second round: every pair that is still apart
+    known = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = common.components(links_apart(bands, classes, roots, sets).union(known))
     moved = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").where("copies > 1 or root is not null").select("set_a", "set_b", F.coalesce("root", "rep").alias("root"))
     named = every.select("doc_id", "n_shingles", "set_a", "set_b").join(moved, ["set_a", "set_b"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
