@@ -302,7 +302,7 @@ def text_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH p AS (SELECT doc_id, [trim(split_part(text, chr(10), 1)), {_LINK}, trim(split_part(text, chr(10), 2)), '<table>' || lang || '</table>'] AS parts FROM documents),
-    f AS (SELECT doc_id, list_filter(parts, lambda x: NOT regexp_matches(x, '^[#$\s]*$')) AS parts FROM p),
+    f AS (SELECT doc_id, list_filter(parts, lambda x: NOT regexp_matches(x, '^[#$\\s]*$')) AS parts FROM p),
     u AS (SELECT doc_id, unnest(range(0, len(parts)))::INT AS slot, unnest(parts) AS part FROM f)
     SELECT doc_id, slot, part LIKE '![](%.jpg)' AS is_image, CASE WHEN part LIKE '![](%.jpg)' THEN part[5:-2] ELSE part END AS content FROM u"""
 )
