@@ -165,6 +165,39 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.line_report(docs.limit(0)).count() == 0 and line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def made_long_lines(seed):
+    """Lines of 55 to 400 characters, each with copies whose edits are spread evenly, in one word, or anywhere."""
+    rng = random.Random(seed)
+    out = []
+    for size in (55, 59, 60, 61, 79, 80, 100, 119, 120, 250, 400):
+        line = "".join(rng.choice("abcdefghij é日") for _ in range(size))
+        out.append(line)
+        for n in (size // 20 - 1, size // 20, size // 20 + 1):
+            spread, gap = list(line), size / (n + 1)
+            for k in range(1, n + 1):
+                spread[round(k * gap) - 1] = "Z"
+            at = rng.randint(0, size - 1)
+            some = list(line)
+            for _ in range(n):
+                k = rng.randint(0, len(some) - 1)
+                rng.choice([lambda: some.insert(k, "Y"), lambda: some.pop(k), lambda: some.__setitem__(k, "X")])()
+            out += ["".join(spread), line[:at] + "w" * n + line[at:], "".join(some)]
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_long_lines(spark, seed):
+    lines = sorted(set(made_long_lines(seed)))
+    allowed = lambda x, y: max(line_dedup.EDITS, min(len(x), len(y)) // 20)
+    want = {(x, y) for i, x in enumerate(lines) for y in lines[i + 1 :] if distance(x, y, allowed(x, y)) <= allowed(x, y)}
+    assert sum(distance(x, y, line_dedup.EDITS) > line_dedup.EDITS for x, y in want) > 30
+    texts = line_dedup._texts(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), "doc_id", "text")
+    places = line_dedup.line_places(texts)
+    line_of = {r["h1"]: lines[r["doc_id"]] for r in places.collect()}
+    got = [tuple(sorted((line_of[r["a"]], line_of[r["b"]]))) for r in line_dedup.line_links(texts, places).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 # --- benchmark items ---------------------------------------------------------------------------
 
 
