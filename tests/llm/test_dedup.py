@@ -165,6 +165,16 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.line_report(docs.limit(0)).count() == 0 and line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_short_lines(spark, tmp_path):
+    texts = ["All rights reserved.\nab\n\n \n", "x\nAll rights reserved.\nac", "\n \nx\nall rights reserved.", "ab\t\nab\n\xa0\n\xa0"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["n_links"]) for r in Q.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: (5, 0, 0), 1: (3, 1, 0), 2: (4, 1, 0), 3: (4, 1, 0)}
+    left = line_dedup.drop_repeated_lines(docs, shortest=line_dedup.EVERY)
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {0: texts[0], 1: "x\nac", 2: "\n \nall rights reserved.", 3: "ab\t\n\xa0\n\xa0"}
+
+
 def made_long_lines(seed):
     """Lines of 55 to 400 characters, each with copies whose edits are spread evenly, in one word, or anywhere."""
     rng = random.Random(seed)
