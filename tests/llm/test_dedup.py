@@ -175,6 +175,14 @@ def test_short_lines(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in left.collect()} == {0: texts[0], 1: "x\nac", 2: "\n \nall rights reserved.", 3: "ab\t\n\xa0\n\xa0"}
 
 
+def test_line_classes(spark):
+    long = "a line that is long enough to be compared with others"
+    texts = [f"other\n{long}\nsame", f"same\n{long}!", "none of these", None, "same\nsame"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: ([tuple(c) for c in r["classes"]], r["n_removed"]) for r in line_dedup.line_report(docs, shortest=line_dedup.EVERY).collect()}
+    assert got == {0: ([(1, 0, 1), (2, 0, 2)], 0), 1: ([(0, 0, 2), (1, 0, 1)], 2), 2: ([], 0), 3: ([], 0), 4: ([(0, 0, 2), (1, 0, 2)], 2)}
+
+
 def made_long_lines(seed):
     """Lines of 55 to 400 characters, each with copies whose edits are spread evenly, in one word, or anywhere."""
     rng = random.Random(seed)
