@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpool.functions import accessors, text
@@ -315,6 +315,28 @@ def text_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "slot", image.alias("is_image"), F.when(image, text.image_path(F.col("part"))).otherwise(F.col("part")).alias("content"))
 
 
+def _whole_block() -> Column:
+    """All lines of the text: the first, an image link, the others, a table."""
+    link = F.concat(F.lit("![](images/"), F.md5(F.col("text").cast("binary")), F.md5(F.col("lang").cast("binary")), F.lit(".jpg)"))
+    first = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
+    others = F.substring(F.col("text"), F.length(first) + 1, F.length("text"))
+    return F.concat(first, F.lit(" "), link, others, F.lit("<table>"), F.col("lang"), F.lit("</table> # $"))
+
+
+@query()
+def text_parts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of whole texts; text_parts takes two lines of each."""
+    return standin.table(spark, sf_dir, "documents").select("doc_id", text.parts(_whole_block()).alias("parts"))
+
+
+@query()
+def text_slots_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots of whole texts; text_slots takes two lines of each."""
+    rows = standin.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.parts(_whole_block())).alias("slot", "part"))
+    image = text.is_image_part(F.col("part"))
+    return rows.select("doc_id", "slot", image.alias("is_image"), F.when(image, text.image_path(F.col("part"))).otherwise(F.col("part")).alias("content"))
+
+
 @query(f"WITH {SLOTS_SQL} SELECT d.doc_id, slot::INT AS slot, lang || '/' || slot || '.jpg' AS path, CASE WHEN slot % 2 = 0 THEN slot ELSE -1 END::INT AS width FROM blk JOIN documents d USING (doc_id) WHERE n % 7 = 0")
 def image_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image objects taken over from a map by path, then named by folder."""

@@ -1,6 +1,8 @@
 """Every registered query that SQL can say, against DuckDB; the others against plain Python."""
 
+import hashlib
 import json
+import re
 
 import pytest
 from oracle import duck, same
@@ -37,3 +39,15 @@ def test_chapter_slices_against_one_document_at_a_time(spark, sf_dir):
             want.add((doc, n, len(c["texts"]), json.dumps(c["page_location"], separators=(",", ":"))))
     got = Q.chapter_slices(spark, sf_dir).select("doc_id", "chapter", "n_texts", "page_location").collect()
     assert {tuple(r) for r in got} == want and len(want) > 50
+
+
+def test_parts_of_whole_texts(spark, sf_dir):
+    want = {}
+    for doc, text, lang in duck(sf_dir).sql("select doc_id, text, lang from documents").fetchall():
+        link = "![](images/" + hashlib.md5(text.encode()).hexdigest() + hashlib.md5(lang.encode()).hexdigest() + ".jpg)"
+        first, newline, others = text.partition("\n")
+        cut = re.split(r"(!\[\]\(images/[0-9a-f]{64}\.jpg\)|<table>.*?</table>)", f"{first} {link}{newline}{others}<table>{lang}</table> # $", flags=re.S)
+        want[doc] = [p.strip() for p in cut if not re.fullmatch(r"[#$\s]*", p)]
+    assert {r["doc_id"]: r["parts"] for r in Q.text_parts_whole(spark, sf_dir).collect()} == want
+    slots = {(d, n, p.startswith("![](") and p.endswith(".jpg)"), p[4:-1] if p.startswith("![](") and p.endswith(".jpg)") else p) for d, own in want.items() for n, p in enumerate(own)}
+    assert {tuple(r) for r in Q.text_slots_whole(spark, sf_dir).collect()} == slots and any(p.count("\n") > 5 for own in want.values() for p in own)
