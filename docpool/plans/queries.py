@@ -286,6 +286,52 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.position_runs(standin.blocks(spark, sf_dir).where("n % 3 > 0"), ["doc_id"])
 
 
+#: Each document's first and last title, as slots.
+_ENDS_SQL = f"{SLOTS_SQL}, ends AS (SELECT doc_id, min(slot) AS low, max(slot) AS high FROM blk WHERE title GROUP BY doc_id)"
+
+
+def _between_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks strictly inside their own document's first and last title."""
+    rows = standin.blocks(spark, sf_dir)
+    at = F.struct("page", "block")
+    ends = rows.where("title").groupBy("doc_id").agg(F.min(at).alias("low"), F.max(at).alias("high"))
+    place = lambda c: (F.col(f"{c}.page"), F.col(f"{c}.block"))
+    return rows.join(ends, "doc_id").where(intervals.inside(F.col("page"), F.col("block"), place("low"), place("high")))
+
+
+@query(f"WITH {_ENDS_SQL} SELECT doc_id, page::INT AS page, block::INT AS block FROM blk JOIN ends USING (doc_id) WHERE title AND slot > low AND slot < high")
+def title_in_own_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _between_titles(spark, sf_dir).where("title").select("doc_id", "page", "block")
+
+
+@query(f"WITH {_ENDS_SQL} SELECT doc_id, count(*) AS n_blocks, sum(n)::BIGINT AS n_chars FROM blk JOIN ends USING (doc_id) WHERE slot > low AND slot < high GROUP BY doc_id")
+def block_range_own_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _between_titles(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n_blocks"), F.sum("n").alias("n_chars"))
+
+
+@query(
+    f"""WITH {SLOTS_SQL}, i AS (SELECT doc_id, slot AS s, slot + 1 + n % 3 AS e FROM blk WHERE NOT title),
+    m AS (SELECT *, CASE WHEN s < max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM i),
+    g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM m)
+    SELECT doc_id, min(s)::INT AS s, max(e)::INT AS e FROM g GROUP BY doc_id, island"""
+)
+def interval_merge_at_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.blocks(spark, sf_dir).where("not title").select("doc_id", F.col("slot").alias("s"), (F.col("slot") + 1 + F.col("n") % 3).alias("e"))
+    return intervals.merge_overlapping(rows, ["doc_id"], "s", "e")
+
+
+@query(
+    f"""WITH {SLOTS_SQL}, p AS (SELECT * FROM blk WHERE NOT title),
+    m AS (SELECT *, CASE WHEN slot = lag(slot) OVER (PARTITION BY doc_id ORDER BY slot) + 1 THEN 0 ELSE 1 END AS fresh FROM p),
+    g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY slot ROWS UNBOUNDED PRECEDING) AS run FROM m),
+    r AS (SELECT doc_id, run, min(slot) AS a, max(slot) AS b, max(total) AS total FROM g GROUP BY doc_id, run)
+    SELECT doc_id, (a // 5)::INT AS start_page, (a % 5 - 1)::INT AS start_block, CASE WHEN b % 5 = 4 OR b = total - 1 THEN b // 5 + 1 ELSE b // 5 END::INT AS end_page,
+           CASE WHEN b % 5 = 4 OR b = total - 1 THEN 0 ELSE b % 5 + 1 END::INT AS end_block FROM r"""
+)
+def runs_at_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.position_runs(standin.blocks(spark, sf_dir).where("not title"), ["doc_id"])
+
+
 _LINK = "'![](images/' || md5(text) || md5(lang) || '.jpg)'"
 
 

@@ -51,3 +51,12 @@ def test_parts_of_whole_texts(spark, sf_dir):
     assert {r["doc_id"]: r["parts"] for r in Q.text_parts_whole(spark, sf_dir).collect()} == want
     slots = {(d, n, p.startswith("![](") and p.endswith(".jpg)"), p[4:-1] if p.startswith("![](") and p.endswith(".jpg)") else p) for d, own in want.items() for n, p in enumerate(own)}
     assert {tuple(r) for r in Q.text_slots_whole(spark, sf_dir).collect()} == slots and any(p.count("\n") > 5 for own in want.values() for p in own)
+
+
+def test_later_blocks_are_in_bounds(spark, sf_dir):
+    titles = {(r["doc_id"], 5 * r["page"] + r["block"]) for r in Q.title_in_own_bounds(spark, sf_dir).collect()}
+    want = set()
+    for doc, text in duck(sf_dir).sql("select doc_id, text from documents").fetchall():
+        own = [n for n, s in enumerate(text.split("\n")) if len(s) < 40]
+        want |= {(doc, n) for n in own[1:-1]}
+    assert titles == want and any(n > 19 for _, n in want)
