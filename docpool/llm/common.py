@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,11 @@ _Q = [pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(SHINGLE_WORDS)]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's setting, else one of our own."""
+    """The folder that driver and executors share: the cluster's setting, else on one machine a folder of our own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_docpool_checkpoints"
     return path.rstrip("/")
 
@@ -40,12 +42,37 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/docpool/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it again: cuts the lineage, survives lost executors."""
+def written(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFrame:
+    """Writes a table to the shared folder and reads it again: cuts the lineage, survives lost executors.
+
+    done: tables written before that nothing needs once this one is there; they are deleted.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    discard(*done)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `written` gave."""
+    for table in tables:
+        delete(table.sparkSession, table.written_to)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def fresh_name(name: str, taken: Iterable[str]) -> str:
+    """name, with underscores before it until no column is called so, in whatever case."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def id_bucket(col: Column, buckets: int) -> Column:

@@ -54,13 +54,27 @@ def distance(a, b, most):
     return min(row[-1], most + 1)
 
 
-def line_links(texts, edits, least):
-    lines = sorted({x for t in texts if t is not None for x in t.split("\n") if len(x) >= least})
-    by_size = defaultdict(list)
-    for x in lines:
-        by_size[len(x)].append(x)
+def shares_run(a, b, run, shift):
+    """Whether a run of so many characters is in both, at places that differ by `shift` at most."""
+    return any(a[i : i + run] == b[j : j + run] for i in range(len(a) - run + 1) for j in range(max(0, i - shift), min(len(b) - run, i + shift) + 1))
+
+
+def lines_linked(a, b):
+    """Two edits at most below 60 characters; from there on 5 % of the shorter line, and a run of a third of what they leave."""
+    size = min(len(a), len(b))
+    most = 2 if size < 60 else size // 20
+    return distance(a, b, most) <= most and (size < 60 or shares_run(a, b, -(-(size - most) // 3), most))
+
+
+def line_links(texts, least):
+    """Lines of `least` characters or more, and the links between those of 24 or more."""
+    lines = sorted({x for t in texts if t is not None for x in t.split("\n") if len(x) >= least}, key=len)
+    parts = [{x[i : i + 19] for i in range(len(x) - 18)} for x in lines]  # a shared run has at least so many
     out = []
-    for x in lines:
-        for n in range(len(x), len(x) + edits + 1):
-            out += [(x, y) for y in by_size[n] if (n > len(x) or x < y) and distance(x, y, edits) <= edits]
+    for i, x in enumerate(lines):
+        for j in range(i + 1, len(lines) if len(x) >= 24 else 0):
+            if len(lines[j]) - len(x) > max(2, len(x) // 20):
+                break
+            if (len(x) < 60 or not parts[i].isdisjoint(parts[j])) and lines_linked(x, lines[j]):
+                out.append((x, lines[j]))
     return lines, out

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import distance, line_links, near_duplicates, roots, shingles
+from brute import distance, line_links, lines_linked, near_duplicates, roots, shingles
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import same
@@ -131,7 +131,7 @@ def made_lines(seed):
 def test_lines(spark, seed):
     texts = made_lines(seed)
     docs = spark.createDataFrame([(i, t, "clash", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, line string, n_chars long")
-    lines, links = line_links(texts, line_dedup.EDITS, line_dedup.MIN_CHARS)
+    lines, links = line_links(texts, 24)
     assert len(links) > 30
     number = {x: i for i, x in enumerate(lines)}
     root = roots(range(len(lines)), [(number[a], number[b]) for a, b in links])
@@ -160,7 +160,7 @@ def test_lines(spark, seed):
 def test_lines_of_odd_rows(spark):
     line = "a line that is long enough to count"
     rows = [(None, line), (1, line), (1, line), (2, f"{line}\n{line}")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as gone", "2 as _GONE")
     assert sorted((r["doc_id"] or -1, r["text"]) for r in line_dedup.drop_repeated_lines(docs).collect()) == [(-1, line), (1, line), (1, line)]
     assert line_dedup.line_report(docs.limit(0)).count() == 0 and line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
 
@@ -203,17 +203,38 @@ def made_long_lines(seed):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_long_lines(spark, seed):
+@pytest.mark.parametrize(("seed", "small", "block"), [(1, 32, 400), (2, 32, 400), (3, 2, 5)])
+def test_long_lines(spark, monkeypatch, seed, small, block):
+    monkeypatch.setattr(line_dedup, "SMALL", small)
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
     lines = sorted(set(made_long_lines(seed)))
-    allowed = lambda x, y: max(line_dedup.EDITS, min(len(x), len(y)) // 20)
-    want = {(x, y) for i, x in enumerate(lines) for y in lines[i + 1 :] if distance(x, y, allowed(x, y)) <= allowed(x, y)}
-    assert sum(distance(x, y, line_dedup.EDITS) > line_dedup.EDITS for x, y in want) > 30
+    want = {(x, y) for i, x in enumerate(lines) for y in lines[i + 1 :] if lines_linked(x, y)}
+    assert sum(distance(x, y, line_dedup.EDITS) > line_dedup.EDITS for x, y in want) > 20
     texts = line_dedup._texts(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), "doc_id", "text")
     places = line_dedup.line_places(texts)
     line_of = {r["h1"]: lines[r["doc_id"]] for r in places.collect()}
-    got = [tuple(sorted((line_of[r["a"]], line_of[r["b"]]))) for r in line_dedup.line_links(texts, places).collect()]
-    assert set(got) == want and len(got) == len(want)
+    links, degrees = line_dedup.line_links(texts, places)
+    got = {tuple(sorted((line_of[r["a"]], line_of[r["b"]]))) for r in links.collect()}
+    assert got <= want and roots(lines, got) == roots(lines, want)
+    assert {line_of[r["h1"]]: r["degree"] for r in degrees.collect()} == {x: n for x in lines if (n := sum(x in link for link in want))}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(60, 700), st.lists(st.tuples(st.floats(0, 1), st.sampled_from("+-x"), st.integers(1, 12)), max_size=3), st.integers(0, 10**6), st.sampled_from(["ab", "abcdefgh é日"]))
+def test_linked_lines_share_a_key(size, edits, seed, letters):
+    rng = random.Random(seed)
+    a = "".join(rng.choice(letters) for _ in range(size))
+    b = a
+    for at, kind, n in edits:
+        k = int(at * len(b))
+        b = b[:k] + ("" if kind == "-" else "".join(rng.choice("xyz") for _ in range(n))) + b[k + (0 if kind == "+" else n) :]
+    assert line_dedup.linked(a, b) == lines_linked(a, b)
+    if a != b and line_dedup.linked(a, b):
+        f = line_dedup.Fingerprints([a, b])
+        rows, keys = f.keys(np.arange(2))
+        shared = set(keys[rows == 0].view(np.int64).tolist()) & set(keys[rows == 1].view(np.int64).tolist())
+        assert shared and line_dedup.least_shared_keys([a], [b]).tolist() == [min(shared)]
+        assert line_dedup.changes(line_dedup.pair_counts([a]), line_dedup.pair_counts([b])[0])[0] <= 4 * line_dedup.allowed(min(len(a), len(b)))
 
 
 # --- benchmark items ---------------------------------------------------------------------------
