@@ -111,6 +111,21 @@ def test_edit_distance(a, b, most):
     assert line_dedup.within(a, b, most) == (distance(a, b, most) <= most)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(33, 130), st.lists(st.tuples(st.floats(0, 0.99), st.sampled_from("+-x")), max_size=40), st.integers(0, 31), st.integers(0, 10**6))
+def test_edit_distances_side_by_side(size, edits, most, seed):
+    rng = random.Random(seed)
+    a = [rng.choice("ab é") for _ in range(size)]
+    b = list(a)
+    for at, kind in edits:
+        k = int(at * len(b))
+        b[k : k + (kind != "+")] = [] if kind == "-" else [rng.choice("abz")]
+    a, b = "".join(a), "".join(b)
+    want = distance(a, b, most) <= most
+    assert line_dedup.within_pairs([a, b, a, a], [b, a, a, ""], np.array([most, most, 0, most])).tolist() == [want, want, True, len(a) <= most]
+    assert line_dedup.within(a, b, most) == want
+
+
 def made_lines(seed):
     rng = random.Random(seed)
     base = ["".join(rng.choice("abcde é日") for _ in range(rng.randint(20, 60))).replace("\n", " ") for _ in range(40)]
@@ -229,6 +244,7 @@ def test_linked_lines_share_a_key(size, edits, seed, letters):
         k = int(at * len(b))
         b = b[:k] + ("" if kind == "-" else "".join(rng.choice("xyz") for _ in range(n))) + b[k + (0 if kind == "+" else n) :]
     assert line_dedup.linked(a, b) == lines_linked(a, b)
+    assert line_dedup.linked_pairs([a, b, a], [b, a, a[:70]]).tolist() == [line_dedup.linked(a, b)] * 2 + [line_dedup.linked(a, a[:70])]
     if a != b and line_dedup.linked(a, b):
         f = line_dedup.Fingerprints([a, b])
         rows, keys = f.keys(np.arange(2))
