@@ -8,6 +8,7 @@ from brute import distance, line_links, lines_linked, near_duplicates, roots, sh
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import same
+from pyspark.sql import functions as F
 
 from docpool.llm import common, decontaminate, line_dedup, near_dedup
 from docpool.llm import queries as Q
@@ -88,6 +89,26 @@ def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts(spark):
+    rng = random.Random(11)
+    base = {k: [rng.choice(WORDS) for _ in range(60)] for k in "ABCD"}
+    text = {k: " ".join(v) for k, v in base.items()} | {"a": " ".join(base["A"][:-1] + ["other"]), "": "", "null": None}
+    rows = [(5, "A"), (9, "A"), (9, "B"), (12, "B"), (13, "a"), (13, "C"), (20, "C"), (21, "D"), (21, "D"), (22, ""), (22, "D"), (23, ""), (23, "null"), (24, "null")]
+    docs = spark.createDataFrame([(i, text[k], k, 1, 2) for i, k in rows], "doc_id long, text string, name string, same int, rank int")
+    near = lambda x, y: 100 * len(shingles(x) & shingles(y)) >= 75 * len(shingles(x) | shingles(y)) > 0
+    links = [(i, j) for i, k in rows for j, m in rows if i != j and near(text[k], text[m])]
+    root = roots({i for i, _ in rows}, links)
+    got = near_dedup.near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == sorted((i, len(shingles(text[k])), root[i], root[i] == i) for i, k in rows)
+    left = near_dedup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    kept = [(r["doc_id"], r["name"]) for r in left.collect()]
+    # of every group of like texts one stays; empty texts are like nothing, but a repeated row goes
+    groups = {"A": (5, {"A", "a"}), "B": (9, {"B"}), "C": (13, {"C"}), "D": (21, {"D"})}
+    assert sorted(x for x in kept if x[1] not in ("", "null")) == sorted((i, next(k for d, k in rows if d == i and k in own)) for i, own in groups.values())
+    assert sorted(x for x in kept if x[1] in ("", "null")) == [(22, ""), (23, ""), (23, "null"), (24, "null")]
+
+
 def test_near_dedup_against_sql(spark, sf_dir):
     same(Q.op2_near_dedup(spark, sf_dir), Q.ORACLES["op2_near_dedup"], sf_dir)
 
@@ -222,11 +243,13 @@ def made_long_lines(seed):
 def test_long_lines(spark, monkeypatch, seed, small, block):
     monkeypatch.setattr(line_dedup, "SMALL", small)
     monkeypatch.setattr(line_dedup, "BLOCK", block)
+    if seed == 3:  # every key is common, and so dealt to several tasks
+        monkeypatch.setattr(line_dedup, "common_keys", lambda table: table.select(F.explode("keys").alias("key")).distinct())
     lines = sorted(set(made_long_lines(seed)))
     want = {(x, y) for i, x in enumerate(lines) for y in lines[i + 1 :] if lines_linked(x, y)}
     assert sum(distance(x, y, line_dedup.EDITS) > line_dedup.EDITS for x, y in want) > 20
     texts = line_dedup._texts(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), "doc_id", "text")
-    places = line_dedup.line_places(texts)
+    places = line_dedup.line_table(texts)
     line_of = {r["h1"]: lines[r["doc_id"]] for r in places.collect()}
     links, degrees = line_dedup.line_links(texts, places)
     got = {tuple(sorted((line_of[r["a"]], line_of[r["b"]]))) for r in links.collect()}
