@@ -217,8 +217,8 @@ def distinct_per_row(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray,
 # --- connected components ----------------------------------------------------------------------
 
 
-#: Up to so many edges, 16 bytes each, components are found in one task.
-ONE_TASK_EDGES = 200_000
+#: Up to so many edges, about 300 bytes each in Python, components are found in one task.
+ONE_TASK_EDGES = 1_000_000
 
 
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
