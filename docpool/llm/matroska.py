@@ -2,19 +2,24 @@
 
 The parser reads EBML elements with variable-length ids and sizes, tracks, clusters (of known and
 unknown size), SimpleBlocks and BlockGroups with no, Xiph, fixed-size or EBML lacing, and cues, into a
-table of packets: track, timestamp, cluster, block, byte range. The writer stores bytes as one track
-of unsigned 8-bit PCM samples, eight packets to a laced block, with a cue for each cluster.
+table of packets: track, timestamp, cluster, block, byte range. A packet's time within a lace comes from
+its track's DefaultDuration or, of 8-bit PCM, from its samples; other tracks' laced packets have the
+block's time. Cues lead to clusters: `packets_from` reads from the last cue before a time, without the
+clusters before it. The writer stores bytes as one track of unsigned 8-bit PCM samples, eight packets to
+a laced block, with a cue for each cluster.
 
 Defined results: a null payload is empty; a payload is padded with zero bytes to a positive multiple
 of 64; repeated rows give repeated rows; null ids stay null; an empty table gives an empty result;
-further columns are ignored; a file that ends inside an element raises ValueError.
+further columns are ignored. What can't be read raises ValueError: a file that ends inside an element, an
+element that reaches past its parent, sizes of a lace that don't fit its block, a fixed-size lace that
+leaves a rest, a block without its header, a track or cue without a number, a cue that leads to no cluster.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,6 +37,7 @@ RATE = 8000
 EBML, EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE, DOC_TYPE, DOC_VERSION, DOC_READ_VERSION = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
 SEGMENT, INFO, TIMESTAMP_SCALE, MUXING_APP, WRITING_APP = 0x18538067, 0x1549A966, 0x2AD7B1, 0x4D80, 0x5741
 TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID, AUDIO, SAMPLING, CHANNELS, BIT_DEPTH = 0x1654AE6B, 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0xE1, 0xB5, 0x9F, 0x6264
+DEFAULT_DURATION = 0x23E383
 CLUSTER, CLUSTER_TIME, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
 CUES, CUE_POINT, CUE_TIME, CUE_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 UNKNOWN = -1
@@ -158,72 +164,133 @@ def frame_sizes(data: bytes, at: int, stop: int, lacing: int) -> tuple[list[int]
     """Sizes of a block's frames and where the first begins. lacing: 0 none, 1 Xiph, 2 fixed, 3 EBML."""
     if lacing == 0:
         return [stop - at], at
+    if at >= stop:
+        raise ValueError(f"a lace without its count at byte {at}")
     count = data[at] + 1
     at += 1
     if lacing == 2:
+        if (stop - at) % count:
+            raise ValueError(f"a lace of {count} equal frames leaves a rest at byte {at}")
         return [(stop - at) // count] * count, at
     sizes: list[int] = []
     for k in range(count - 1):
         if lacing == 1:
-            size = 0
-            while data[at] == 255:
-                size, at = size + 255, at + 1
-            sizes.append(size + data[at])
-            at += 1
+            run = at
+            while run < stop and data[run] == 255:
+                run += 1
+            if run >= stop:
+                raise ValueError(f"a lace ends inside a size at byte {at}")
+            sizes.append(255 * (run - at) + data[run])
+            at = run + 1
         else:
             before = at
-            value, at = read_vint(data, at)
+            value, at = read_vint(data[:stop], at)
             sizes.append(value if k == 0 else sizes[-1] + value - ((1 << 7 * (at - before) - 1) - 1))
-    return [*sizes, stop - at - sum(sizes)], at
-
-
-def read_media(data: bytes) -> Media:
-    """The packets, tracks and cues of a Matroska file."""
-    scale, tracks, packets, cues, clusters, segment = 1_000_000, [], [], [], [], 0
-
-    def block(start: int, stop: int, time: int, index: int) -> None:
-        track, at = read_vint(data, start)
-        relative = int.from_bytes(data[at : at + 2], "big", signed=True)
-        sizes, at = frame_sizes(data, at + 3, stop, data[at + 2] >> 1 & 3)
-        first = at
-        for size in sizes:
-            # samples of a byte each: a packet begins as many ticks after the block's first
-            packets.append(Packet(track, time + relative + at - first, len(clusters) - 1, index, at, size))
-            at += size
-
+    sizes.append(stop - at - sum(sizes))
+    if min(sizes) < 0:
+        raise ValueError(f"a lace's frames reach past its block at byte {at}")
+    return sizes, at
+
+
+def _fields(data: bytes, start: int, stop: int, needed: dict[int, str]) -> dict[int, tuple[int, int]]:
+    """Where the children of an element are, of each kind the last; those needed must be there."""
+    found = {kind: (p, q) for kind, _, p, q in elements(data, start, stop)}
+    for kind, name in needed.items():
+        if kind not in found:
+            raise ValueError(f"the element at byte {start} has no {name}")
+    return found
+
+
+def _cluster(data: bytes, start: int, stop: int, number: int, scale: int, tracks: dict[int, dict]) -> Iterator[Packet]:
+    """The packets of a cluster."""
+    time = index = 0
+    for kind, _, x, y in elements(data, start, stop):
+        if kind == CLUSTER_TIME:
+            time = _int(data, x, y)
+        blocks = [(x, y)] if kind == SIMPLE_BLOCK else [(p, q) for k, _, p, q in elements(data, x, y) if k == BLOCK] if kind == BLOCK_GROUP else []
+        for p, q in blocks:
+            track, at = read_vint(data[:q], p)
+            if at + 3 > q:
+                raise ValueError(f"a block of {q - p} bytes at byte {p} has no header")
+            begins = time + int.from_bytes(data[at : at + 2], "big", signed=True)
+            sizes, at = frame_sizes(data, at + 3, q, data[at + 2] >> 1 & 3)
+            known, first = tracks.get(track, {}), at
+            for k, size in enumerate(sizes):
+                if known.get("duration"):  # in ns
+                    later = round(k * known["duration"] / scale)
+                else:
+                    later = (at - first) * known["tick"] if known.get("tick") else 0
+                yield Packet(track, begins + later, number, index, at, size)
+                at += size
+            index += 1
+
+
+def _track(data: bytes, start: int, stop: int, scale: int) -> dict:
+    fields = _fields(data, start, stop, {TRACK_NUMBER: "number"})
+    out = {"number": _int(data, *fields[TRACK_NUMBER]), "codec": data[slice(*fields[CODEC_ID])].decode("ascii", "replace") if CODEC_ID in fields else ""}
+    if DEFAULT_DURATION in fields:
+        out["duration"] = _int(data, *fields[DEFAULT_DURATION])
+    if out["codec"] == "A_PCM/INT/LIT" and AUDIO in fields:
+        audio = _fields(data, *fields[AUDIO], {})
+        depth = _int(data, *audio[BIT_DEPTH]) if BIT_DEPTH in audio else 0
+        channels = _int(data, *audio[CHANNELS]) if CHANNELS in audio else 1
+        rate = data[slice(*audio[SAMPLING])] if SAMPLING in audio else b""
+        if depth == 8 and channels == 1 and len(rate) in (4, 8):
+            hertz = float(np.frombuffer(rate, f">f{len(rate)}")[0])
+            if hertz > 0:
+                out["tick"] = round(1e9 / hertz / scale)  # ticks of a byte
+    return out
+
+
+def _walk(data: bytes, want: Callable[[int], bool] | None = None) -> Media:
+    """want: whether the packets of the cluster at this place are read."""
+    scale, entries, packets, cues, clusters, segment = 1_000_000, [], [], [], [], 0
     for kind, _, start, stop in elements(data, 0, len(data)):
         if kind != SEGMENT:
             continue
         segment = start
+        places: list[tuple[int, int, int]] = []
         for kind1, place, a, b in elements(data, start, stop):
             if kind1 == INFO:
                 scale = next((_int(data, x, y) for k, _, x, y in elements(data, a, b) if k == TIMESTAMP_SCALE), scale)
+                if not scale:
+                    raise ValueError(f"a timestamp scale of 0 at byte {a}")
             elif kind1 == TRACKS:
-                for k, _, x, y in elements(data, a, b):
-                    if k == TRACK_ENTRY:
-                        fields = {f: (p, q) for f, _, p, q in elements(data, x, y)}
-                        tracks.append({"number": _int(data, *fields[TRACK_NUMBER]), "codec": data[slice(*fields[CODEC_ID])].decode()})
+                entries += [(x, y) for k, _, x, y in elements(data, a, b) if k == TRACK_ENTRY]
             elif kind1 == CLUSTER:
-                clusters.append(place - start)
-                time = index = 0
-                for k, _, x, y in elements(data, a, b):
-                    if k == CLUSTER_TIME:
-                        time = _int(data, x, y)
-                    elif k == SIMPLE_BLOCK:
-                        block(x, y, time, index)
-                        index += 1
-                    elif k == BLOCK_GROUP:
-                        for k2, _, p, q in elements(data, x, y):
-                            if k2 == BLOCK:
-                                block(p, q, time, index)
-                                index += 1
+                places.append((place - start, a, b))
             elif kind1 == CUES:
                 for k, _, x, y in elements(data, a, b):
                     if k == CUE_POINT:
-                        point = {f: (p, q) for f, _, p, q in elements(data, x, y)}
-                        spot = {f: (p, q) for f, _, p, q in elements(data, *point[CUE_POSITIONS])}
-                        cues.append((_int(data, *point[CUE_TIME]), _int(data, *spot[CUE_TRACK]), _int(data, *spot[CUE_CLUSTER])))
-    return Media(scale, tracks, packets, cues, clusters, segment)
+                        time = _int(data, *_fields(data, x, y, {CUE_TIME: "time", CUE_POSITIONS: "position"})[CUE_TIME])
+                        for k2, _, p, q in elements(data, x, y):
+                            if k2 == CUE_POSITIONS:
+                                spot = _fields(data, p, q, {CUE_TRACK: "track", CUE_CLUSTER: "cluster"})
+                                cues.append((time, _int(data, *spot[CUE_TRACK]), _int(data, *spot[CUE_CLUSTER])))
+        tracks = [_track(data, x, y, scale) for x, y in entries]
+        numbered = {t["number"]: t for t in tracks}
+        for where, a, b in places:
+            if want is None or want(where):
+                packets += _cluster(data, a, b, len(clusters), scale, numbered)
+            clusters.append(where)
+    return Media(scale, [_track(data, x, y, scale) for x, y in entries], packets, cues, clusters, segment)
+
+
+def read_media(data: bytes) -> Media:
+    """The packets, tracks and cues of a Matroska file."""
+    return _walk(data)
+
+
+def packets_from(data: bytes, ticks: int, track: int = 1) -> list[Packet]:
+    """The track's packets from the last one that begins at `ticks` or before; clusters before its cue aren't read."""
+    media = _walk(data, lambda place: False)
+    before = [(time, place) for time, t, place in media.cues if t == track and time <= ticks]
+    start = max(before)[1] if before else 0
+    if before and start not in media.clusters:
+        raise ValueError(f"a cue leads to byte {start}, where no cluster is")
+    found = [p for p in _walk(data, lambda place: place >= start).packets if p.track == track]
+    early = [p.timestamp for p in found if p.timestamp <= ticks]
+    return [p for p in found if p.timestamp >= max(early, default=ticks)]
 
 
 def stored_bytes(data: bytes, media: Media, track: int = 1) -> bytes:
