@@ -4,9 +4,13 @@ An item lies in a document if at least 75 of 100 of its distinct five-word shing
 Items are partitioned by the size of their sets (powers of two). In each partition an item is
 represented by a MinHash sketch for containment: its k smallest shingles under a random order, with
 k = size - needed + 1. An item that reaches the threshold misses at most size - needed shingles, so
-one of any k is in the document: the search loses nothing. A document's shingles are looked up in
-the sketches of those partitions whose items it is large enough to hold; what is hit is verified on
-the item's whole set.
+one of any k is in the document: the search loses nothing. Documents have no sketch: all their shingles are
+looked up in the sketches of those partitions whose items they are large enough to hold; the partition's
+size is used as that lower bound alone. What is hit is verified on the item's whole set.
+
+The order in which an item's shingles are the smallest puts those that many items of the block hold last, so
+that a sketch holds common phrases only where the item has nothing rarer; an item that a document holds is
+looked at once, however many of its shingles hit.
 
 The items' index is broadcast in blocks of at most BLOCK_SHINGLES shingles, by item; a benchmark of
 any size is searched block after block, each over all documents, without a join.
@@ -31,6 +35,8 @@ PERCENT = 75
 #: Shingles of items in one broadcast: 16 bytes each at most, 32 MB.
 BLOCK_SHINGLES = 2_000_000
 _FILTER_BITS = 20
+#: Shingles in fewer items than this are alike rare; those in MANY or more alike common.
+COMMON, MANY = 8, 1 << 20
 
 
 class ItemIndex:
@@ -43,9 +49,16 @@ class ItemIndex:
         self.partitions = []
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         classes = np.array([int(s).bit_length() for s in sizes])
+        names, times = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+        def rarest(s: np.ndarray, k: int) -> np.ndarray:
+            """The k shingles of a set that the fewest items hold, by hash among equals."""
+            held = np.minimum(times[np.searchsorted(names, s)], MANY) // COMMON * COMMON
+            return s[np.lexsort((common.mix64(s ^ np.uint64(0x2545F491)), held))[:k]]
+
         for c in sorted(set(classes.tolist())):
             members = np.flatnonzero((classes == c) & (sizes > 0))
-            sketches = [s[np.argsort(common.mix64(s ^ np.uint64(0x2545F491)))[: len(s) - self.needed[i] + 1]] for i in members for s in (sets[i],)]
+            sketches = [rarest(sets[i], int(sizes[i] - self.needed[i] + 1)) for i in members]
             if not sketches:
                 continue
             values, owner = np.concatenate(sketches), np.repeat(members, [len(s) for s in sketches])
@@ -61,20 +74,23 @@ class ItemIndex:
         values = shingles[near]
         rows = np.searchsorted(ends, near, "right") - 1
         sizes = np.diff(ends)
-        candidates: set[tuple[int, int]] = set()
-        for least, keys, owner in self.partitions:
-            lo, hi = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
-            for k in np.flatnonzero((hi > lo) & (sizes[rows] >= least)).tolist():
-                candidates.update((int(rows[k]), int(i)) for i in owner[lo[k] : hi[k]])
-        found, held = [], {}
-        for row, item in sorted(candidates):
-            if row not in held:
-                held = {row: np.unique(shingles[ends[row] : ends[row + 1]])}
-            at = np.searchsorted(held[row], self.sets[item])
-            at[at == len(held[row])] = 0
-            shared = int(np.count_nonzero(held[row][at] == self.sets[item]))
-            if 100 * shared >= PERCENT * len(self.sets[item]):
-                found.append((row, item, shared))
+        found = []
+        starts = np.searchsorted(rows, np.arange(len(sizes) + 1))  # a row at a time: its candidates are at most the block's items
+        for row in np.unique(rows).tolist():
+            own = np.unique(values[starts[row] : starts[row + 1]])
+            hit = np.zeros(len(self.sets), bool)
+            for least, keys, owner in self.partitions:
+                if sizes[row] >= least:
+                    for a, b in zip(np.searchsorted(keys, own, "left").tolist(), np.searchsorted(keys, own, "right").tolist()):
+                        hit[owner[a:b]] = True
+            held = None
+            for item in np.flatnonzero(hit).tolist():
+                held = np.unique(shingles[ends[row] : ends[row + 1]]) if held is None else held
+                at = np.searchsorted(held, self.sets[item])
+                at[at == len(held)] = 0
+                shared = int(np.count_nonzero(held[at] == self.sets[item]))
+                if 100 * shared >= PERCENT * len(self.sets[item]):
+                    found.append((row, item, shared))
         return found
 
 
