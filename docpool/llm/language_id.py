@@ -31,7 +31,8 @@ from docpool.llm import common
 #: Sampled rows of a language, on average.
 TRAIN_DOCS = 1500
 BITS = 16
-STEPS = 8
+#: Steps go on until the likelihood is within GAIN of the best there is, MOST_STEPS at the most.
+GAIN, MOST_STEPS = 0.05, 500
 _ASCII_LETTER = re.compile(r"[A-Za-z]")
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[:128] = 0x20
@@ -61,10 +62,14 @@ class Mixture:
         self.logs = np.log(self.chances)
 
     def _fit(self, chances: np.ndarray, counts: np.ndarray, total: float) -> tuple[np.ndarray, float]:
+        """Proportions and likelihood. Steps end when the likelihood can rise by GAIN at most, by its concavity."""
         share = np.full(chances.shape[1], 1 / chances.shape[1])
-        for _ in range(STEPS):
-            mixed = chances @ share
-            share = share * (chances.T @ (counts / mixed)) / total
+        for _ in range(MOST_STEPS):
+            slope = chances.T @ (counts / (chances @ share)) / total
+            share = share * slope
+            # the best proportions' likelihood is at most total * log(max(slope)) above this one's
+            if total * np.log(max(slope.max(), 1.0)) <= GAIN:
+                break
         return share, float(counts @ np.log(chances @ share))
 
     def infer(self, data: np.ndarray) -> tuple[int, float, dict[int, float], bool]:
