@@ -251,7 +251,7 @@ def test_long_lines(spark, monkeypatch, seed, small, block):
     texts = line_dedup._texts(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), "doc_id", "text")
     places = line_dedup.line_table(texts)
     line_of = {r["h1"]: lines[r["doc_id"]] for r in places.collect()}
-    links, degrees = line_dedup.line_links(texts, places)
+    links, degrees = line_dedup.line_links(texts, places, line_dedup.line_kinds(places))
     got = {tuple(sorted((line_of[r["a"]], line_of[r["b"]]))) for r in links.collect()}
     assert got <= want and roots(lines, got) == roots(lines, want)
     assert {line_of[r["h1"]]: r["degree"] for r in degrees.collect()} == {x: n for x in lines if (n := sum(x in link for link in want))}
