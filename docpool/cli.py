@@ -1,4 +1,4 @@
-"""Command line: analyze, aggregate-stats, make-data, select, emit, chunk."""
+"""Command line: analyze, analyze-all, rerun-failed, aggregate-stats, make-data, select, emit, chunk."""
 
 from __future__ import annotations
 
@@ -51,6 +51,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--seed", type=int, default=1337)
     p.add_argument("--sweep_token_total_min_list", default="")
     _gate_options(p, "base_")
+    for name in ("analyze-all", "rerun-failed"):
+        p = command(name, False)
+        p.add_argument("--pool_root", required=True)
+        p.add_argument("--out_root", required=True)
+        p.add_argument("--jsonl_dir_name", default=jsonl.FOLDER)
+        p.add_argument("--parallel", type=int, default=4)
+        p.add_argument("--retries", type=int, default=1)
+        p.add_argument("--redo", action="store_true")
+        if name == "rerun-failed":
+            p.add_argument("--failed_list", help="names, one a line; <out_root>/failed.list if not given")
     p = command("aggregate-stats", False)
     p.add_argument("--out_root", required=True)
     p.add_argument("--output_json")
@@ -77,7 +87,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input_dir", required=True)
     p.add_argument("--output_dir", required=True)
     p.add_argument("--chapter_level", type=int, required=True)
-    p.add_argument("--layouts", nargs="+", required=True)
+    p.add_argument("--layouts", nargs="*", default=[], help="layout files, or patterns of them; without any, those that records name")
     p.add_argument("--image_token_guess", type=int, default=0)
     p.add_argument("--drop_empty", type=int, default=1)
     p.add_argument("--debug", action="store_true")
@@ -91,6 +101,13 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "analyze":
         thresholds = [int(x) for x in a.sweep_token_total_min_list.split(",") if x.strip()]
         commands.analyze(spark, folder, a.dataset_name, a.out_dir, sample_size=a.viz_reservoir_size, seed=a.seed, max_records=a.max_records, cfg=_gates(a, "base_"), thresholds=thresholds, shards=a.jsonl_glob)
+    elif a.command in ("analyze-all", "rerun-failed"):
+        only = None
+        if a.command == "rerun-failed":
+            only = commands.read_name_list("\n".join(r["value"] for r in spark.read.text(a.failed_list or f"{a.out_root.rstrip('/')}/failed.list").collect()))
+        result = commands.analyze_all(spark, a.pool_root, a.out_root, redo=a.redo, retries=a.retries, folder=a.jsonl_dir_name, parallel=a.parallel, only=only, lists=True)
+        print(json.dumps(result))
+        return int(any(r.startswith("failed") for r in result.values()))
     elif a.command == "aggregate-stats":
         names = commands.read_name_list(open(a.datasets_list, encoding="utf-8").read()) if a.datasets_list else None
         commands.aggregate_stats(spark, a.out_root, a.output_json, names)
@@ -107,7 +124,8 @@ def main(argv: list[str] | None = None) -> int:
         commands.emit(spark, folder, commands.read_manifest(spark, a.selected_manifest), a.output_dir)
     elif a.command == "chunk":
         records = jsonl.read_records(spark, f"{a.input_dir.rstrip('/')}/jsonl_res_sample")
-        chunks, bad = commands.chunk(records, jsonl.read_layouts(spark, a.layouts), a.chapter_level, image_tokens=a.image_token_guess, drop_empty=bool(a.drop_empty))
+        layouts = jsonl.read_layouts(spark, a.layouts) if a.layouts else jsonl.named_layouts(spark, commands.chunk_files(records))
+        chunks, bad = commands.chunk(records, layouts, a.chapter_level, image_tokens=a.image_token_guess, drop_empty=bool(a.drop_empty))
         if a.debug and (first := bad.first()) is not None:
             raise RuntimeError(f"no title for the slots of record {first['record_id']}")
         sinks.write_shards(commands.chunk_lines(chunks), a.output_dir, "jsonl_res_chunk", empty=records.select("dataset", "shard"))

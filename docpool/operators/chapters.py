@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from docpool.functions import layout as L
 from docpool.operators.intervals import LAST_LEVEL, ROOT, merge, refine, split
 from docpool.sources.config import SliceParams
+from docpool.sources.jsonl import layout_path
 
 
 class Rendered:
@@ -98,21 +99,28 @@ def first_and_last_level(wanted: int | None) -> tuple[Column, Column]:
     return F.when(unknown, 1).when(has, wanted).otherwise(wanted + 1), F.when(unknown | has, F.lit(None)).otherwise(wanted + 1).cast("int")
 
 
+def named_files() -> tuple[Column, Column]:
+    """The layout and the cleaned layout that a record names."""
+    a = "rec.meta_info.address"
+    return layout_path(F.col(f"{a}.s3_parse_address"), suffix=".json"), layout_path(F.col(f"{a}.s3_clean_address"), suffix=".json")
+
+
 CHAPTERS = "array<struct<index: int, value: string>>"
 
 
 def with_chapters(records: DataFrame, layouts: DataFrame, params: SliceParams, wanted: int | None = None) -> DataFrame:
     """records with `chapters`, the lines of their chapters (empty: not cut), and `error`.
 
-    layouts: (path, content), path being what the records' addresses say. Layouts that are missing or
+    layouts: (path, content), paths as jsonl.normal_path has them. Layouts that are missing or
     broken leave a record uncut, as do titles that have a level but no place; the latter is an error.
+    `layout_missing` says whether a file that the record names isn't among the layouts.
     """
     first, last = first_and_last_level(wanted)
     raw = layouts.select(F.col("path").alias("_raw_path"), F.col("content").alias("_raw"))
     clean = layouts.select(F.col("path").alias("_clean_path"), F.col("content").alias("_clean"))
-    a = "rec.meta_info.address"
+    raw_path, clean_path = named_files()
     joined = (
-        records.withColumns({"_raw_path": F.col(f"{a}.s3_parse_address"), "_clean_path": F.col(f"{a}.s3_clean_address"), "_first": first, "_last": last, "_levels": F.to_json("title_levels")})
+        records.withColumns({"_raw_path": raw_path, "_clean_path": clean_path, "_first": first, "_last": last, "_levels": F.to_json("title_levels")})
         .join(raw, "_raw_path", "left")
         .join(clean, "_clean_path", "left")
     )
@@ -139,7 +147,7 @@ def with_chapters(records: DataFrame, layouts: DataFrame, params: SliceParams, w
         return pd.DataFrame(rows, columns=["chapters", "error"])
 
     result = cut("value", "_raw", "_clean", "_clean_path", "_levels", "_first", "_last")
-    return joined.withColumn("_cut", result).select(*records.columns, F.col("_cut.chapters").alias("chapters"), F.col("_cut.error").alias("error"))
+    return joined.withColumn("_cut", result).select(*records.columns, F.col("_cut.chapters").alias("chapters"), F.col("_cut.error").alias("error"), (F.col("_raw").isNull() | F.col("_clean").isNull()).alias("layout_missing"))
 
 
 def records_of_intervals(layout: dict, intervals: list[tuple[L.Position, L.Position]], folder: str, roots: tuple[str, str, str] | None = None, extra: dict | None = None) -> tuple[list[dict], list[tuple]]:

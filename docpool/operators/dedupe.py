@@ -1,7 +1,8 @@
 """First-seen deduplication by fingerprint.
 
-The first place of each fingerprint comes from an aggregation, which combines rows before it shuffles,
-so that one fingerprint with very many rows is no problem; whole rows are only joined against it.
+The first row of each fingerprint comes from an aggregation, which combines rows before it shuffles,
+so that one fingerprint with very many rows is no problem. The row goes through the aggregation itself:
+places are computed once, and don't have to be the same in a second scan.
 """
 
 from __future__ import annotations
@@ -17,5 +18,6 @@ def first_places(records: DataFrame, key: str = "pdf_md5", place: str = "place")
 
 def first_seen(records: DataFrame, key: str = "pdf_md5", place: str = "place", keep_without_key: bool = True) -> DataFrame:
     """The first row of each key, in place order; rows without a key all stay, or none."""
-    keyed = records.where(F.col(key) != "").join(first_places(records, key, place), key).where(F.col(place) == F.col("first_place")).select(*records.columns)
+    rows = records.where(F.col(key) != "").groupBy(F.col(key).alias("fingerprint")).agg(F.min_by(F.struct(*records.columns), place).alias("row"))
+    keyed = rows.select("row.*")
     return keyed.unionByName(records.where(f"coalesce({key}, '') = ''")) if keep_without_key else keyed

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from multiprocessing.pool import ThreadPool
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -48,20 +49,34 @@ def analyze(spark: SparkSession, dataset_dir: str, dataset: str, out: str, *, sa
     return document
 
 
-def analyze_all(spark: SparkSession, pool: str, out: str, *, redo: bool = False, retries: int = 1, folder: str = jsonl.FOLDER, **options) -> dict[str, str]:
-    """Profiles every dataset of a pool that has none yet: dataset to ok, skipped or the error."""
-    result: dict[str, str] = {}
-    for name in jsonl.list_datasets(spark, pool, folder):
-        if not redo and _exists(spark, f"{out.rstrip('/')}/{name}/analysis/reservoir_stats.json"):
-            result[name] = "skipped"
-            continue
-        for _ in range(retries + 1):
+def analyze_all(spark: SparkSession, pool: str, out: str, *, redo: bool = False, retries: int = 1, folder: str = jsonl.FOLDER, parallel: int = 4, only: list[str] | None = None, lists: bool = False, **options) -> dict[str, str]:
+    """Profiles every dataset of a pool, or those in `only`, that has none yet: dataset to ok, skipped or the error.
+
+    `parallel` datasets are profiled at a time, as jobs of one session. lists: their names are written to
+    <out>/started.list, ok.list and failed.list; the last is what a later run takes as `only`.
+    """
+    top = out.rstrip("/")
+
+    def profile(name: str) -> str:
+        if not redo and _exists(spark, f"{top}/{name}/analysis/reservoir_stats.json"):
+            return "skipped"
+        for attempt in range(retries + 1):
             try:
                 analyze(spark, f"{pool.rstrip('/')}/{name}/{folder}", name, out, **options)
-                result[name] = "ok"
-                break
+                return "ok"
             except Exception as e:  # noqa: BLE001  one dataset's failure is not another's
-                result[name] = f"failed: {e}"[:500]
+                if attempt == retries:
+                    return f"failed: {e}"[:500]
+        return "failed"
+
+    there = set(jsonl.list_datasets(spark, pool, folder))
+    names = sorted(there) if only is None else list(dict.fromkeys(only))
+    with ThreadPool(max(1, parallel)) as workers:
+        result = dict(zip(names, workers.map(lambda n: profile(n) if n in there else "failed: no such dataset", names)))
+    if lists:
+        of = {"started": [n for n, r in result.items() if r != "skipped"], "ok": [n for n, r in result.items() if r == "ok"], "failed": [n for n, r in result.items() if r.startswith("failed")]}
+        for kind, found in of.items():
+            sinks.write_text_file(spark, f"{top}/{kind}.list", "".join(f"{n}\n" for n in found))
     return result
 
 
@@ -108,6 +123,11 @@ def emit(spark: SparkSession, dataset_dir: str, selected: DataFrame, out: str, f
     sinks.write_shards(sampling.emit(records, selected), out, folder, empty=records.select("dataset", "shard"))
 
 
+def chunk_files(records: DataFrame) -> DataFrame:
+    """path of the layouts that records name."""
+    return records.select(jsonl.layout_path(F.col("rec.meta_info.address.s3_parse_address")).alias("path"))
+
+
 def chunk(records: DataFrame, layouts: DataFrame, level: int, *, image_tokens: int = 0, drop_empty: bool = True, adapter: Adapter = search_titles) -> tuple[DataFrame, DataFrame]:
     """Chunks of records at titles of a level, and the records that can't be cut.
 
@@ -166,21 +186,25 @@ def make_data(records: DataFrame, layouts: DataFrame | None, cfg: MakeDataConfig
         cut = cut.withColumn("lines", F.when(F.size("chapters") > 0, F.col("chapters")).otherwise(original))
         lines = cut.select("dataset", "shard", "place", F.explode("lines").alias("c"))
         out = out.union(lines.select("dataset", "shard", F.struct("place", F.col("c.index").alias("index")).alias("place"), F.col("c.value").alias("value")))
-        counts = counts.join(cut.groupBy("dataset").agg(F.count("error").alias("errors"), F.count_if(F.size("chapters") > 0).alias("split_batches"), F.sum(F.size("lines")).alias("parts")), "dataset", "left")
+        counts = counts.join(cut.groupBy("dataset").agg(F.count("error").alias("errors"), F.count_if(F.size("chapters") > 0).alias("split_batches"), F.sum(F.size("lines")).alias("parts"), F.count_if("layout_missing").alias("layouts_missing")), "dataset", "left")
     else:
-        counts = counts.withColumns({"errors": F.lit(0), "split_batches": F.lit(0), "parts": F.lit(0)})
+        counts = counts.withColumns({"errors": F.lit(0), "split_batches": F.lit(0), "parts": F.lit(0), "layouts_missing": F.lit(0)})
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    numbers = {n: zero(n) for n in ("lines_in", "lines_pass_gate", "skipped_gate", "errors", "split_batches")} | {"lines_out": F.col("whole") + zero("parts"), "dedupe_skipped": F.col("lines_pass_gate") - F.col("kept")}
+    numbers = {n: zero(n) for n in ("lines_in", "lines_pass_gate", "skipped_gate", "errors", "split_batches", "layouts_missing")} | {"lines_out": F.col("whole") + zero("parts"), "dedupe_skipped": F.col("lines_pass_gate") - F.col("kept")}
     return out, counts.select("dataset", *[c.alias(n) for n, c in numbers.items()])
 
 
 def make_data_pool(spark: SparkSession, pool: str, out: str, version: str, cfg: MakeDataConfig, layouts: DataFrame | None = None, dataset: str = "", folder: str = jsonl.FOLDER, shards: str = jsonl.SHARDS) -> dict:
     """make_data over a pool, or one dataset, to <out>/<version>/<dataset>/<folder>/<shard>.
 
-    Shards without a line are not written. Without layouts given, the files that records name are read:
-    the names are gathered first, so pass a DataFrame of (path, content) where they are many.
+    Shards without a line are not written. Without layouts given, the files that records name are read
+    (jsonl.named_layouts): pass a DataFrame of (path, content) where they are many.
     """
     records = jsonl.read_records(spark, f"{pool.rstrip('/')}/{dataset}/{folder}", shards, strict=False) if dataset else jsonl.read_pool(spark, pool, folder, shards)
+    if layouts is None and cfg.split_enabled and cfg.split_records:
+        named = records.where(gates.passes(cfg.gates, True) & chapters.splittable())
+        raw, clean = chapters.named_files()
+        layouts = jsonl.named_layouts(spark, named.select(F.explode(F.array(raw, clean)).alias("path")))
     lines, counters = make_data(records, layouts, cfg)
     sinks.write_shards(lines, out, folder, version)
     rows = [r.asDict() for r in counters.orderBy("dataset").collect()]

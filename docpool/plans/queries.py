@@ -203,7 +203,7 @@ def unlabelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM judged j LEFT JOIN kept k USING (doc_id) GROUP BY j.dataset"""
 )
 def make_data_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return commands.make_data(standin.records(spark, sf_dir), None, MakeDataConfig(gates=GATES))[1]
+    return commands.make_data(standin.records(spark, sf_dir), None, MakeDataConfig(gates=GATES))[1].drop("layouts_missing")
 
 
 # --- slots -------------------------------------------------------------------------------------

@@ -7,6 +7,9 @@ driver except dataset folders of a pool.
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -14,6 +17,8 @@ from pyspark.sql.utils import AnalysisException
 from docpool.functions.accessors import canonical
 from docpool.functions.schema import RECORD
 
+#: Layout files read by the addresses in records.
+MOST_NAMED = 100_000
 SHARDS = "data_*.jsonl"
 FOLDER = "jsonl_res"
 
@@ -85,16 +90,43 @@ def read_pool(spark: SparkSession, pool: str, folder: str = FOLDER, shards: str
     return read_records(spark, [f"{pool.rstrip('/')}/{n}/{folder}" for n in names], shards, strict)
 
 
+def normal_path(path: Column) -> Column:
+    """A path as layouts and addresses are compared by: without file:, with single slashes, relative ones below the driver's folder."""
+    here = F.when(path.startswith("./"), F.concat(F.lit(os.getcwd() + "/"), path)).otherwise(path)
+    local = F.regexp_replace(F.regexp_replace(here, r"^file:/*", "/"), r"^s3[an]://", "s3://")
+    return F.regexp_replace(F.regexp_replace(local, r"(?<!:)(?<!:/)/(\./)+", "/"), r"(?<![:/])/{2,}|^/{2,}", "/")
+
+
 def read_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path and content of whole layout files."""
-    return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    """path, as normal_path has it, and content of whole layout files."""
+    # file_path is a URI: a plus sign there is one, not a space
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return spark.read.text(paths, wholetext=True).select(normal_path(decoded).alias("path"), F.col("value").alias("content"))
+
 
+def layout_path(address: Column, name: str = "middle.json", suffix: str | None = None) -> Column:
+    """The file of an address, normalised: itself if it ends in `suffix` (the name), else the file in that folder; null for other schemes."""
+    known = address.rlike(r"^(/|\./|s3[an]?://|obs://|file:|hdfs:|viewfs:)")
+    file = F.when(address.endswith(suffix or name), address).otherwise(F.concat(F.regexp_replace(address, "/+$", ""), F.lit("/" + name)))
+    return normal_path(F.when(known & (address != ""), file))
 
-def layout_path(address: Column, name: str = "middle.json") -> Column:
-    """The file of an address: itself, or the file in that folder; null for other schemes."""
-    known = address.rlike(r"^(/|\./|s3://|obs://|file:|hdfs:|viewfs:)")
-    file = F.when(address.endswith(name), address).otherwise(F.concat(F.regexp_replace(address, "/+$", ""), F.lit("/" + name)))
-    return F.when(known & (address != ""), file)
+
+def named_layouts(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """path and content of the files (path) that records name and that are there.
+
+    The names pass through the driver, MOST_NAMED at the most: beyond, ValueError says to give patterns of
+    layout files, which Spark lists itself.
+    """
+    names = [r["path"] for r in files.where("path is not null").distinct().limit(MOST_NAMED + 1).collect()]
+    if len(names) > MOST_NAMED:
+        raise ValueError(f"records name more than {MOST_NAMED} layout files: give the files as patterns")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there = []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        if path.getFileSystem(conf).exists(path):
+            there.append(re.sub(r"([\[\]{}*?\\])", r"\\\1", name))  # characters of patterns stand for themselves
+    return read_layouts(spark, there) if there else spark.createDataFrame([], "path string, content string")
 
 
 def category_names(spark: SparkSession, path: str) -> DataFrame:

@@ -48,9 +48,11 @@ def write_shards(rows: DataFrame, out: str, folder: str, version: str | None = N
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(top).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for d in fs.globStatus(path(f"{staging}/dataset=*/shard=*")):
-        dataset, shard = (x.split("=", 1)[1] for x in d.getPath().toString().split("/")[-2:])
+        # the writer escapes what file systems may not take in names
+        dataset, shard = (jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(x.split("=", 1)[1]) for x in d.getPath().toString().split("/")[-2:])
         parts = sorted(f.getPath().toString() for f in fs.listStatus(d.getPath()) if f.getPath().getName().startswith("part-"))
-        target = path(f"{top}/{dataset}/{folder}/{shard}")
+        # a name with a colon is no URI: it is taken as a child
+        target = path(path(path(path(top), path(None, None, dataset)), folder), path(None, None, shard))
         fs.mkdirs(target.getParent())
         fs.delete(target, False)
         if len(parts) != 1:

@@ -137,3 +137,46 @@ def test_make_data_with_chapters(spark, tmp_path):
     assert rows[0]["texts"] == ["# t0", "w" * 200, "t1", "w" * 200] and rows[0]["page_location"] == [[0, -1], [2, 0]] and rows[0]["unknown"] == {"kept": [1.5, None]}
     got = counters.first().asDict()
     assert {k: got[k] for k in ("lines_in", "lines_out", "errors", "split_batches", "dedupe_skipped")} == {"lines_in": 4, "lines_out": 4, "errors": 1, "split_batches": 1, "dedupe_skipped": 1}
+
+
+def test_layouts_by_address(spark, tmp_path):
+    page = lambda p: {"page_idx": p, "para_blocks": [{"type": "title", "lines": [{"spans": [{"type": "text", "content": f"t{p}"}]}]}, {"type": "text", "lines": [{"spans": [{"type": "text", "content": "w" * 200}]}]}]}
+    layout = json.dumps({"pdf_info": [page(p) for p in range(4)]})
+    for where in ("one two+", "b"):
+        (tmp_path / "l" / where).mkdir(parents=True)
+        (tmp_path / "l" / where / "middle.json").write_text(layout)
+    cut = record("m", id="r", img_cnt=0, text_cnt=2)
+    cut["meta_info"] |= {"chapter_info": {"0": 1, "2": 1}, "address": {"s3_parse_address": f"{tmp_path}/l/one two+/", "s3_clean_address": f"file:{tmp_path}//l/b/middle.json"}}
+    lost = json.loads(json.dumps(cut)) | {"pdf_md5": "lost"}
+    lost["meta_info"]["address"]["s3_clean_address"] = f"{tmp_path}/none"
+    pool(tmp_path / "in", {"d/jsonl_res/data_0000.jsonl": [cut, lost]})
+    (tmp_path / "cfg.json").write_text(json.dumps({"gates": {"chapter_level": 1}, "chapter_split": {"enabled": True, "min_page_num": 2, "min_imgs_count": 0}}))
+    args = ["make-data", "--pool_root", f"{tmp_path}/in", "--output_version", "v", "--config", f"{tmp_path}/cfg.json"]
+    for out, more in (("named", []), ("given", ["--layouts", f"{tmp_path}/l/*/middle.json"])):
+        assert cli.main([*args, "--out_root", f"{tmp_path}/{out}", *more]) == 0
+        assert [r["id"] for r in lines_of(tmp_path / out / "v/d/jsonl_res/data_0000.jsonl")] == ["r_chapter_0", "r_chapter_1", "r"]
+        summary = json.loads((tmp_path / out / "v/make_data_summary.json").read_text())
+        assert [d["layouts_missing"] for d in summary["datasets"]] == [1]
+    base = record("m", id="", texts=["a", "b b", "c c c"], images=[None, None, None])
+    base["meta_info"] |= {"chapter_info": {"0": 2, "1": 1, "2": 1}, "address": {"s3_parse_address": f"{tmp_path}/c"}}
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/middle.json").write_text(json.dumps({"blocks": [{"title_idx": t} for t in (0, 1, 2)]}))
+    pool(tmp_path, {"d/jsonl_res_sample/data_0000.jsonl": [base]})
+    assert cli.main(["chunk", "--root", str(tmp_path), "--dataset_name", "d", "--input_dir", f"{tmp_path}/d", "--output_dir", f"{tmp_path}/chunks", "--chapter_level", "1"]) == 0
+    assert [r["texts"] for r in lines_of(next((tmp_path / "chunks").rglob("data_0000.jsonl")))] == [["b b"], ["c c c"]]
+
+
+def test_names_that_the_writer_escapes(spark, tmp_path):
+    rows = spark.createDataFrame([("set#1:a b%", "data_0001.jsonl", 2, "y"), ("set#1:a b%", "data_0001.jsonl", 1, "x")], "dataset string, shard string, place int, value string")
+    sinks.write_shards(rows, f"{tmp_path}/out", "jsonl_res")
+    assert (tmp_path / "out/set#1:a b%/jsonl_res/data_0001.jsonl").read_text() == "x\ny\n"
+
+
+def test_analyze_all_and_rerun(spark, tmp_path):
+    pool(tmp_path / "in", {"a/jsonl_res/data_0.jsonl": [record("x")], "b/jsonl_res/data_0.jsonl": [record("z")]})
+    args = ["--pool_root", f"{tmp_path}/in", "--out_root", f"{tmp_path}/out"]
+    assert cli.main(["analyze-all", *args, "--parallel", "2"]) == 0
+    assert (tmp_path / "out/ok.list").read_text() == "a\nb\n" and (tmp_path / "out/failed.list").read_text() == ""
+    (tmp_path / "again").write_text("b\ngone\n")
+    assert cli.main(["rerun-failed", *args, "--failed_list", f"{tmp_path}/again", "--redo"]) == 1
+    assert (tmp_path / "out/failed.list").read_text() == "gone\n" and (tmp_path / "out/ok.list").read_text() == "b\n"
