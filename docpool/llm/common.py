@@ -53,13 +53,33 @@ def written(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFra
     discard(*done)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    _live.append((spark, path))
     return out
 
 
+#: Sessions and folders of the tables written and not yet deleted.
+_live: list[tuple[SparkSession, str]] = []
+
+
+def mark() -> int:
+    """For `sweep`: what is written from here on."""
+    return len(_live)
+
+
+def sweep(since: int, *keep: DataFrame) -> None:
+    """Deletes the tables written since a mark but those to keep: once what was computed from them is stored."""
+    kept = {t.written_to for t in keep}
+    for spark, path in _live[since:]:
+        if path not in kept:
+            delete(spark, path)
+    _live[since:] = [x for x in _live[since:] if x[1] in kept]
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that `written` gave."""
     for table in tables:
         delete(table.sparkSession, table.written_to)
+        _live[:] = [x for x in _live if x[1] != table.written_to]
 
 
 def delete(spark: SparkSession, path: str) -> None:
