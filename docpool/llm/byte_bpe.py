@@ -25,6 +25,7 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,11 +104,31 @@ def model_from_ranks(path: str, pattern: str) -> str:
     )
 
 
+def cuts_before_spaces(tokenizer: Tokenizer) -> bool:
+    """Whether texts may be cut before spaces, and words of letters and punctuation go to the merges directly.
+
+    That is so for the pattern of public_tokenizers and for the library's own byte-level splits, which is
+    the same one; any other pattern may cut elsewhere.
+    """
+    steps = json.loads(tokenizer.to_str())
+    if steps.get("normalizer"):
+        return False
+    pre = steps.get("pre_tokenizer") or {}
+    pre = pre["pretokenizers"] if pre.get("type") == "Sequence" else [pre]
+    if any(x.get("add_prefix_space") for x in pre):
+        return False
+    kinds = [x.get("type") for x in pre]
+    if kinds == ["ByteLevel"]:
+        return bool(pre[0].get("use_regex", True))
+    return kinds == ["Split", "ByteLevel"] and not pre[1].get("use_regex", True) and pre[0]["pattern"] == {"Regex": public_tokenizers.PATTERN} and pre[0]["behavior"] == "Isolated" and not pre[0]["invert"]
+
+
 class Codec:
-    """A tokenizers model; ids are unsigned 32-bit, little-endian."""
+    """A tokenizers model; ids are unsigned 32-bit, little-endian. Texts of models that may cut elsewhere than
+    before spaces go to the library whole."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer, self.by_words = tokenizer, cuts_before_spaces(tokenizer)
         vocab = tokenizer.get_vocab(with_added_tokens=False)
         pieces = [b""] * (max(vocab.values()) + 1)
         for letters, i in vocab.items():
@@ -165,6 +186,8 @@ class Codec:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_words:
+            return self._whole(texts)
         # a special string could reach over a cut: such texts go to the library whole
         cut = [(t, []) if any(s in t for s in self.special) else cut_chunks(t) for t in texts]
         firsts = self._whole([first for first, _ in cut])
