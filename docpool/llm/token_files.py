@@ -24,13 +24,17 @@ from pyspark.sql import functions as F
 from docpool.llm import common
 from docpool.llm.byte_bpe import Codec
 
+#: Bytes of text in a file, at most on average.
+FILE_BYTES = 1 << 30
 SCHEMA = "doc_id long, part int, seq long, ids array<int>"
 WRITER = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": "2000", "orc.stripe.size": str(32 << 20), "compression": "zstd"}
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = 0, files: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of every document, in the order of doc_id, to ORC files at path."""
-    files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:  # by the bytes of all texts, but enough to keep the tasks of a shuffle busy
+        size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+        files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, seq = Codec.from_file(tokenizer), TaskContext.get().partitionId(), 0
