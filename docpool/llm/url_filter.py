@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docpool.llm import common
+
 #: (verdict, host, path) of each rule.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: Suffixes of two labels under which domains are registered.
@@ -25,6 +27,8 @@ LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br")
 #: Block where more than this share of pages is bad, with the normal quantile Z to spare.
 LIMIT, Z = 0.5, 1.645
 WEAKEST, STRONGEST = 1.0, 1000.0
+#: Bytes of blocked hosts that are broadcast; beyond, Spark joins by host and splits a host with very many pages.
+MOST_BYTES = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -96,7 +100,9 @@ def reputations(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]] = RULES, limit: float = LIMIT) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of pages (page_id, url)."""
     pages = pages.select("page_id", "url")
-    blocked = reputations(pages, outcomes).where(F.col("lower") > limit).select("host", F.lit(True).alias("bad_host"))
+    blocked = common.written(reputations(pages, outcomes).where(F.col("lower") > limit).select("host", F.lit(True).alias("bad_host")), "blocked-hosts")
+    size = blocked.agg(F.sum(F.octet_length("host") + 16)).first()[0] or 0
+    blocked = F.broadcast(blocked) if size <= MOST_BYTES else blocked
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     judged = parts.join(blocked, "host", "left")
@@ -104,7 +110,10 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
 
 
 def page_outcomes(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(page_id, bad) from labels of the pages' texts: bad if toxic or of low quality."""
+    """(page_id, bad) from labels: bad if toxic or of low quality. A label whose id_col equals a page_id is that page's.
+
+    The given tables have no other key between labels and pages; who has one passes outcomes made by it.
+    """
     return labels.select(F.col(id_col).alias("page_id"), ((F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)).cast("int").alias("bad"))
 
 
