@@ -97,6 +97,22 @@ def test_reputation(spark):
     assert {r["verdict"] for r in few} == {"allow"}  # one bad page is not enough
 
 
+def test_hosts_that_the_method_blocks_against_sql(spark, tmp_path):
+    urls = [(i, f"http://{'bad' if i % 5 < 2 else 'good'}.site{i % 5}.net/{i}") for i in range(600)] + [(9000, None), (9001, "http://bad.site0.net/x")]
+    spark.createDataFrame(urls, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    marks = [(i, int(i % 5 < 2), 1) for i in range(0, 600, 2)] + [(None, 1, 0), (7, None, None)]
+    spark.createDataFrame(marks, "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["page_id"]: r["verdict"] for r in Q.op7_url_filter(spark, str(tmp_path)).collect()}
+    assert all(got[i] == ("block" if i % 5 < 2 else "allow") for i in range(600)) and got[9000] == "allow" and got[9001] == "block"
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    rows = con.execute(url_filter.ORACLE_SQL).fetchall()
+    assert {r[0]: r[4] for r in rows} == got
+
+
 def test_windows_that_the_ordinary_dictionary_suits_better():
     model = toxicity.Detector(["bad scum here " * 9] * 5, ["all is well now"] * 5)
     model.gains = lambda data: [-3, -1]

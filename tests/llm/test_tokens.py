@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 import sentencepiece
 import tiktoken
 from hypothesis import given, settings
@@ -87,6 +88,31 @@ def test_counts(spark, odd, sf_dir):
     assert table[3] == [len(SP.encode(ODD[3][:k])) for k in range(6)]
 
 
+@pytest.mark.parametrize("limit", [1, 3, 7])
+def test_truncation_from_stored_counts(spark, odd, limit):
+    table = token_counts.prefix_counts(odd.where("doc_id is not null"), MODEL, limit)
+    for wanted in (limit, 2 * limit):
+        for r in token_counts.truncations(table, wanted).collect():
+            text = " " if r["n_bytes"] == 1 and r["doc_id"] == 1 else ODD[r["doc_id"]] or ""
+            counts = [len(SP.encode(text[:k])) for k in range(len(text) + 1)]
+            assert r["n_tokens"] == counts[-1] and r["over_limit"] == (counts[-1] > wanted)
+            if r["over_limit"]:
+                assert counts[r["chars_within"]] <= wanted and r["chars_within"] == max(k for k, c in enumerate(counts) if c <= wanted)
+            else:
+                assert r["chars_within"] == len(text)
+    if limit > 1:
+        with pytest.raises(Exception, match="no multiple"):
+            token_counts.truncations(table, limit + 1).collect()
+
+
+@pytest.mark.parametrize("pattern", [r"[A-Z]?[a-z]+|\s+|[^A-Za-z\s]+|[A-Z]", r" ?[^\s]+|\s+"])
+def test_other_patterns(spark, pattern):
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    texts = ["JavaScript on YouTube, iPhone and eBay", " JavaScript  YouTube\n", "don't (stop) x2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["ids"] for r in byte_bpe.encode(docs, RANKS, pattern).collect()} == {i: own.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_round_trip(spark, odd, sf_dir):
     digest = lambda ids: hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
@@ -125,3 +151,23 @@ def test_token_files(spark, odd, sf_dir):
     empty = common.new_path(spark, "no-tokens")
     token_files.write_tokens(odd.limit(0), empty, P.path("byte_bpe_50k.json"), files=3)
     assert token_files.token_index(spark, empty).count() == 0
+
+
+def test_indexes_in_the_files(spark, tmp_path):
+    docs = spark.range(0, 60_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    token_files.write_tokens(docs, f"{tmp_path}/t", P.path("byte_bpe_50k.json"), files=1)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    (file,) = (str(f) for f in (tmp_path / "t").glob("part-*.orc"))
+    reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(file), jvm.org.apache.orc.OrcFile.readerOptions(conf))
+    assert reader.getRowIndexStride() == 2000 and reader.getNumberOfRows() == 60_000
+    rows = reader.rows()
+    footer = rows.readStripeFooter(reader.getStripes()[0])
+    kinds = [s.getKind().toString() for s in footer.getStreamsList()]
+    assert "ROW_INDEX" in kinds and any(k.startswith("BLOOM_FILTER") for k in kinds)
+    assert "DIRECT_V2" in [c.getKind().toString() for c in footer.getColumnsList()]
+    rows.close()
+    # row groups that can't hold the id aren't read
+    plan = token_files.read_tokens(spark, f"{tmp_path}/t").where("doc_id = 31234")._jdf.queryExecution()
+    assert plan.toRdd().count() == 1
+    scan = plan.executedPlan().collectLeaves().head()
+    assert 0 < scan.metrics().apply("numOutputRows").value() <= 4000
