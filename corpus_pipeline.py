@@ -1,8 +1,8 @@
 """A corpus pipeline: each stage reads what the one before it kept.
 
 language_id drops documents without letters or in no learned language; line_dedup removes lines that
-stand elsewhere already, and documents of which nothing stays; near_dedup keeps the smallest doc_id of
-each group of near copies; decontaminate drops documents that hold a benchmark item; byte_bpe encodes
+stand elsewhere already, and documents of which nothing stays; near_dedup keeps one document of each group of
+near copies, the smallest doc_id; decontaminate drops documents that hold a benchmark item; byte_bpe encodes
 what is left and decodes it again. The first four return the columns of documents.
 
 Null ids and texts, empty tables and further columns have the results that the operators' modules state.
@@ -18,7 +18,7 @@ from docpool.llm import byte_bpe, common, decontaminate, language_id, line_dedup
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from every labelled document: nothing is held out here."""
+    """Learns from a sample of all labelled documents, language_id.TRAIN_DOCS a language: nothing is held out here."""
     return language_id.keep_known_languages(docs, language_id.learn(docs, F.lit(True)))
 
 
@@ -45,8 +45,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each result written to the shared folder and read again."""
+    """All stages over documents, each result written to the shared folder and read again.
+
+    What a stage wrote on its way, and what it read, is deleted once its result is stored.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    since = common.mark()
     for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        common.sweep(since, docs)
     return STAGES[-1][1](spark, docs, sf_dir)

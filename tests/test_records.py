@@ -1,8 +1,8 @@
 """Accessors, gates and readers on hand-written lines."""
 
 import json
-import os
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
