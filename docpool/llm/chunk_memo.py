@@ -16,7 +16,7 @@ from typing import TypeVar
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 T = TypeVar("T")
-MOST = 800_000
+MOST = 400_000
 #: Longer chunks are encoded each time.
 LONGEST = 48
 
