@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docpool.functions import accessors, text
@@ -12,6 +12,7 @@ from docpool.functions.schema import CATEGORY
 from docpool.operators import adapters, chapters, content_list, dedupe, gates, intervals, paragraphs, sampling, slots, stats
 from docpool.plans import commands, standin
 from docpool.plans.standin import RECORDS_SQL, SLOTS_SQL
+from docpool.sources import jsonl, sinks
 from docpool.sources.config import GatesConfig, MakeDataConfig, SliceParams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,51 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+# --- lines -------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {RECORDS_SQL}
+SELECT doc_id::VARCHAR AS record_id, rec.dataset, 'data_' || (doc_id // 5000)::VARCHAR || '.jsonl' AS shard, (doc_id // 5000)::INTEGER AS shard_idx,
+       row_number() OVER (PARTITION BY rec.dataset, doc_id // 5000 ORDER BY doc_id) AS line_no, md5(d.text) AS text_md5, pdf_md5, image_num, token_total,
+       layout_decision, CASE WHEN layout_decision IS NOT NULL THEN layout_score END AS layout_score, nsfw_decision,
+       CASE WHEN nsfw_decision IS NOT NULL THEN 0.0 END::DOUBLE AS nsfw_score, rec.language, category_code, 'name of ' || category_code AS category_name,
+       CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END AS n_levels, CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END AS n_title_levels
+FROM rec JOIN documents d USING (doc_id)"""
+)
+def pool_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as JSON lines in shards, among blank, broken and other lines, read again as a pool."""
+    rows = standin.records(spark, sf_dir)
+    best = F.struct("category_code", F.concat(F.lit("name of "), "category_code").alias("category_name"), F.lit(0.9).alias("score"))
+    other = F.struct(F.lit("99").alias("category_code"), F.lit("other").alias("category_name"), F.lit(0.1).alias("score"))
+    # statistics now in meta_info, now at the top; a category as an object or as a list
+    nested = F.col("doc_id") % 2 == 0
+    statistics = F.struct(F.col("image_num").alias("clean_image_num"), F.col("token_total").alias("clean_total_token"))
+    first, second = F.struct(F.lit("1").alias("0"), F.lit(" 2 ").alias("4"), F.lit("x").alias("5")), F.struct(F.lit("1").alias("0"))
+    meta = F.struct(
+        F.when(nested, statistics).alias("statistics_info"),
+        F.when(F.col("layout_decision").isNotNull(), F.struct(F.col("layout_decision").alias("decision"), F.col("layout_score").alias("score"))).alias("origin_pdf_layout_score"),
+        F.when(F.col("nsfw_decision").isNotNull(), F.struct(F.col("nsfw_decision").alias("decision"))).alias("origin_pdf_nsfw_score"),
+        F.when(nested, F.struct("language")).alias("language_fasttext"),
+        F.lit(True).alias("more"),
+    )
+    record = F.struct("pdf_md5", F.col("record_id").alias("id"), F.array(F.col("value")).alias("texts"), F.when(~nested, statistics).alias("statistics_info"), F.when(~nested, F.struct("language")).alias("language_fasttext"), meta.alias("meta_info"))
+    levels = F.when(F.col("doc_id") % 3 == 0, F.to_json(first)).otherwise(F.to_json(second))
+    category = F.when(nested, F.to_json(best)).otherwise(F.to_json(F.array(other, best, other)))
+    # meta_info comes last: what has no type of its own goes in before its end
+    line = F.to_json(record)
+    line = F.concat(line.substr(F.lit(1), F.length(line) - 2), F.lit(',"chapter_info":'), levels, F.lit(',"category_cls_v1.3":'), category, F.lit("}}"))
+    junk = F.when(F.col("layout_decision") == "DROP", '{"pdf_md5": "broken"').when(F.col("nsfw_decision") == "DROP", "[1, 2]").otherwise(" ")
+    index = F.floor(F.col("doc_id") / 5000).cast("int")
+    lines = rows.select("dataset", F.concat(F.lit("data_"), index.cast("string"), F.lit(".jsonl")).alias("shard"), "doc_id", F.posexplode(F.array(line, junk)).alias("k", "value"))
+    pool = sinks.shared_folder(spark)
+    sinks.write_shards(lines.select("dataset", "shard", F.struct("doc_id", "k").alias("place"), "value"), pool, jsonl.FOLDER)
+    read = jsonl.read_pool(spark, pool)
+    number = F.row_number().over(Window.partitionBy("dataset", "shard").orderBy("place"))
+    flat = ["pdf_md5", "image_num", "token_total", "layout_decision", "layout_score", "nsfw_decision", "nsfw_score", "language", "category_code", "category_name"]
+    return read.select("record_id", "dataset", "shard", "shard_idx", number.alias("line_no"), F.md5(F.col("rec.texts")[0].cast("binary")).alias("text_md5"), *flat, F.size("levels").alias("n_levels"), F.size("title_levels").alias("n_title_levels"))
+
+
 # --- gates -------------------------------------------------------------------------------------
 
 _REASON = """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import uuid
 import os
 import tarfile
 from collections.abc import Iterator
@@ -27,6 +28,16 @@ def write_text_file(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(part, place)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder where the driver and all executors write: below spark.checkpoint.dir, on one machine else the warehouse."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{top.rstrip('/')}/pools/{uuid.uuid4().hex}"
+
+
 def write_json(spark: SparkSession, path: str, data: dict) -> None:
     write_text_file(spark, path, json.dumps(data, ensure_ascii=False, indent=2))
 
