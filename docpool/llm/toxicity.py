@@ -1,10 +1,10 @@
 """Toxicity by compression distance.
 
 Two raw-content dictionaries for zstandard are learned, one from toxic and one from ordinary text. They are
-word lists and not the work of zstandard's trainer: that one can't give right results here. Held out at sf0.1,
-dictionaries that it trained on whole texts of each class rank a toxic text above an ordinary one in 57 to 66
+word lists and not the work of zstandard's trainer: in what was tried that one gave no right results. Held out at
+sf0.1 (170 toxic and 1,325 other texts learned from), dictionaries that it trained on whole texts of each class rank a toxic text above an ordinary one in 57 to 66
 of 100 cases (8, 32 and 110 kB, windows of 64 bytes; mean, largest or largest three gains), trained anew on the
-windows that gain most in 59 to 67, and trained on what a dictionary of ordinary text leaves uncompressed in 63
+windows that gain most in 58 to 67, and trained on what a dictionary of ordinary text leaves uncompressed in 63
 to 79; the lists find over 85 of 100 toxic texts and flag under 3 of 100 others. A text is cut into
 windows of about WINDOW bytes at spaces; the score of a window is the number of bytes by which the
 toxic dictionary compresses it better. Both dictionaries end in the same common text, so that windows
