@@ -16,6 +16,7 @@ are ignored.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import json
 import re
@@ -65,17 +66,17 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
-_LETTERS = dict(enumerate(byte_letters()))
-_SPACE = byte_letters()[32]
+_ALPHABET = "".join(byte_letters())
+_BYTES = {c: b for b, c in enumerate(_ALPHABET)}
+_SPACE = _ALPHABET[32]
 
 
 def to_letters(raw: bytes) -> str:
-    return raw.decode("latin-1").translate(_LETTERS)
+    return codecs.charmap_decode(raw, "strict", _ALPHABET)[0]
 
 
 def to_bytes(letters: str) -> bytes:
-    table = {c: b for b, c in enumerate(byte_letters())}
-    return bytes(table[c] for c in letters)
+    return bytes(map(_BYTES.__getitem__, letters))
 
 
 # --- models ------------------------------------------------------------------------------------
@@ -110,10 +111,9 @@ def cuts_before_spaces(tokenizer: Tokenizer) -> bool:
     That is so for the pattern of public_tokenizers and for the library's own byte-level splits, which is
     the same one; any other pattern may cut elsewhere.
     """
-    steps = json.loads(tokenizer.to_str())
-    if steps.get("normalizer"):
+    if tokenizer.normalizer or not tokenizer.pre_tokenizer:
         return False
-    pre = steps.get("pre_tokenizer") or {}
+    pre = json.loads(tokenizer.pre_tokenizer.__getstate__())
     pre = pre["pretokenizers"] if pre.get("type") == "Sequence" else [pre]
     if any(x.get("add_prefix_space") for x in pre):
         return False
