@@ -5,6 +5,7 @@ A block is rendered once, by itself; what an interval of blocks holds is then a
 
 from __future__ import annotations
 
+import copy
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -129,6 +130,24 @@ def titles(layout: dict) -> dict[int, Position]:
     return dict(enumerate(found))
 
 
+def relevel(layout: dict, levels: dict[int, int] | None = None, fixed: int | None = None, places: dict[int, Position] | None = None) -> dict:
+    """A copy of a layout with new levels on its titles: those of a map (0 where it has none), or one for all.
+
+    places: of the numbered titles, where another layout numbers them; what is no title there stays as it is.
+    ValueError unless either a map, not an empty one, or a fixed level is given.
+    """
+    if bool(levels) == (fixed is not None):
+        raise ValueError("give either levels of titles or one fixed level")
+    number = {place: n for n, place in (titles(layout) if places is None else places).items()}
+    out = copy.deepcopy(layout)
+    for page in pages(out):
+        for k, block in enumerate(page.get("para_blocks") or []):
+            n = number.get((page.get("page_idx", 0), k))
+            if n is not None and block.get("type") == S.TITLE:
+                block["level"] = levels.get(n, 0) if levels else fixed
+    return out
+
+
 def image_paths(layout: dict) -> dict[str, list[str]]:
     """Image paths by kind of block: images, tables and display equations."""
     out: dict[str, list[str]] = {S.IMAGE_BLOCK: [], S.TABLE: [], S.INTERLINE_EQUATION: []}

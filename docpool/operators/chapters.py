@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpool.functions import layout as L
-from docpool.operators.intervals import LAST_LEVEL, ROOT, merge, refine, split
+from docpool.operators.intervals import LAST_LEVEL, ROOT, merge, refine, split, unions
 from docpool.sources.config import SliceParams
 from docpool.sources.jsonl import layout_path
 
@@ -48,17 +48,17 @@ class Rendered:
         return self.images[b] - self.images[a], self.letters[b] - self.letters[a]
 
 
-def slice_document(raw: dict, cleaned: dict, levels: dict[int, int], folder: str, params: SliceParams, first_level: int = 1, last_level: int | None = None) -> list[dict]:
+def slice_document(raw: dict, cleaned: dict, levels: dict[int, int], folder: str, params: SliceParams, first_level: int = 1, last_level: int | None = None, deepest: int = LAST_LEVEL) -> list[dict]:
     """Chapters (texts, images, counts, page_location) of one document; none if it isn't to be cut.
 
     raw: the layout whose title blocks the levels number; cleaned: the one that is rendered. first_level
-    and last_level: where to look for the top titles, at most down to the fourth level.
+    and last_level: where to look for the top titles, at most down to `deepest`, which intervals aren't split beyond.
     """
     n_pages = len(cleaned.get("pdf_info") or [])
     if not levels or n_pages <= params.min_page_num:
         return []
-    there = [v for v in levels.values() if first_level <= v <= min(LAST_LEVEL, last_level or LAST_LEVEL)]
-    if first_level > LAST_LEVEL:  # a deeper level serves only if it is the one asked for
+    there = [v for v in levels.values() if first_level <= v <= min(deepest, last_level or deepest)]
+    if first_level > deepest:  # a deeper level serves only if it is the one asked for
         there = [v for v in levels.values() if v == first_level]
     if not there:
         return []
@@ -67,7 +67,7 @@ def slice_document(raw: dict, cleaned: dict, levels: dict[int, int], folder: str
     policy = L.policy_of(*(bool(kinds[k]) for k in ("image", "table", "interline_equation")))
     rendered = Rendered(cleaned, {places[t]: levels.get(t, 0) for t in places}, policy)
     tops = split(ROOT, min(there), (0, -1), (n_pages, 0), places, levels)
-    cut = merge(refine(tops, params.max_page_num, places, levels), rendered.size, params.min_imgs_count, params.min_texts_len, params.max_page_num)
+    cut = merge(refine(tops, params.max_page_num, places, levels, deepest), rendered.size, params.min_imgs_count, params.min_texts_len, params.max_page_num)
     out = []
     for index, interval in enumerate(cut):
         a, b = rendered.range(interval.start, interval.end)
@@ -150,6 +150,61 @@ def with_chapters(records: DataFrame, layouts: DataFrame, params: SliceParams, w
     return joined.withColumn("_cut", result).select(*records.columns, F.col("_cut.chapters").alias("chapters"), F.col("_cut.error").alias("error"), (F.col("_raw").isNull() | F.col("_clean").isNull()).alias("layout_missing"))
 
 
+CHECKS = ("images_same", "texts_same", "img_cnt_same", "text_cnt_same", "location_same")
+
+
+def slice_archived(items: DataFrame, layouts: DataFrame, params: SliceParams, deepest: int = LAST_LEVEL) -> DataFrame:
+    """items of jsonl.read_archived with `chapters`, their `status` and CHECKS.
+
+    Titles are looked for from level 1 to `deepest`, which intervals aren't split beyond. Images are those of
+    the item's own list where it has the path. status: cut, no_levels, short, no_titles (or nothing in the
+    intervals), layout_missing, or the error. CHECKS say whether the chapters, one after another, have the texts,
+    images, counts and place of the item; null if it isn't cut, and for the place if the item has none.
+    """
+    raw = layouts.select(F.col("path").alias("raw_path"), F.col("content").alias("_raw"))
+    clean = layouts.select(F.col("path").alias("clean_path"), F.col("content").alias("_clean"))
+    joined = items.join(raw, "raw_path", "left").join(clean, "clean_path", "left")
+
+    def one(line: str, raw: str | None, clean: str | None, path: str, levels: str | None) -> dict:
+        own = {int(k): v for k, v in json.loads(levels or "{}").items()}
+        if not own:
+            return {"status": "no_levels"}
+        if raw is None or clean is None:
+            return {"status": "layout_missing"}
+        source, cleaned = json.loads(line), json.loads(clean)
+        if len(cleaned.get("pdf_info") or []) <= params.min_page_num:
+            return {"status": "short"}
+        cut = slice_document(json.loads(raw), cleaned, own, os.path.basename(os.path.dirname(path)), params, 1, deepest, deepest)
+        if not cut:
+            return {"status": "no_titles"}
+        known = {i["relative_img_path"]: i for i in source["images"] if isinstance(i, dict) and i.get("relative_img_path")}
+        for chapter in cut:
+            chapter["images"] = [i and known.get(i["relative_img_path"], i) for i in chapter["images"]]
+        same = {f"{k}_same": [x for c in cut for x in c[k]] == source[k] for k in ("images", "texts")}
+        same |= {f"{k}_same": sum(c[k] for c in cut) == source[k] for k in ("img_cnt", "text_cnt")}
+        if source.get("page_location") is not None:
+            same["location_same"] = unions([c["page_location"] for c in cut]) == source["page_location"]
+        lines = []
+        for n, chapter in enumerate(cut):
+            index = chapter.pop("index")
+            lines.append({"index": n, "value": json.dumps({**source, **chapter, "id": f"{source['id']}_chapter_{index}"}, ensure_ascii=False)})
+        return {"status": "cut", "chapters": lines, **same}
+
+    @F.pandas_udf(f"chapters {CHAPTERS}, status string, " + ", ".join(f"{c} boolean" for c in CHECKS))
+    def cut(value: pd.Series, raw: pd.Series, clean: pd.Series, path: pd.Series, levels: pd.Series) -> pd.DataFrame:
+        rows = []
+        for row in zip(value, raw, clean, path, levels):
+            try:
+                found = one(*row)
+            except (KeyError, ValueError, TypeError, AttributeError) as e:
+                found = {"status": f"{type(e).__name__}: {e}"}
+            rows.append([found.get("chapters", []), found["status"], *(found.get(c) for c in CHECKS)])
+        return pd.DataFrame(rows, columns=["chapters", "status", *CHECKS], dtype=object)
+
+    result = cut("value", "_raw", "_clean", "clean_path", F.to_json("title_levels"))
+    return joined.withColumn("_cut", result).select(*items.columns, "_cut.*")
+
+
 def records_of_intervals(layout: dict, intervals: list[tuple[L.Position, L.Position]], folder: str, roots: tuple[str, str, str] | None = None, extra: dict | None = None) -> tuple[list[dict], list[tuple]]:
     """A record for each interval of a layout, and the intervals without content.
 

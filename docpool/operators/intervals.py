@@ -44,15 +44,26 @@ def split(parent: str, level: int, start: Position, end: Position, places: dict[
     return [Interval(a, b, parent, level) for a, b in zip(lefts, rights)]
 
 
-def refine(intervals: list[Interval], most_pages: int, places: dict[int, Position], levels: dict[int, int]) -> list[Interval]:
-    """Intervals over `most_pages` pages are split at the next level, down to the last level."""
+def refine(intervals: list[Interval], most_pages: int, places: dict[int, Position], levels: dict[int, int], deepest: int = LAST_LEVEL) -> list[Interval]:
+    """Intervals over `most_pages` pages are split at the next level, down to the deepest."""
     out: list[Interval] = []
     for i in intervals:
-        if i.level >= LAST_LEVEL or i.end[0] - i.start[0] <= most_pages:
+        if i.level >= deepest or i.end[0] - i.start[0] <= most_pages:
             out.append(i)
         else:
             parent = "_".join(map(str, titles_within(i.level, i.start, i.end, places, levels)))
-            out += refine(split(parent, i.level + 1, i.start, i.end, places, levels), most_pages, places, levels)
+            out += refine(split(parent, i.level + 1, i.start, i.end, places, levels), most_pages, places, levels, deepest)
+    return out
+
+
+def unions(pairs: list) -> list[list]:
+    """Unions of one document's overlapping intervals; intervals that only touch stay apart."""
+    out: list[list[Position]] = []
+    for start, end in sorted(pairs):
+        if out and start < out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
     return out
 
 

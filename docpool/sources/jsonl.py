@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from docpool.functions.accessors import canonical
+from docpool.functions.accessors import canonical, title_levels
 from docpool.functions.schema import RECORD
 
 #: Layout files read by the addresses in records.
@@ -129,6 +129,39 @@ def named_layouts(spark: SparkSession, files: DataFrame) -> DataFrame:
     return read_layouts(spark, there) if there else spark.createDataFrame([], "path string, content string")
 
 
+def read_archived(spark: SparkSession, paths: str | list[str], shards: str = SHARDS) -> tuple[DataFrame, DataFrame]:
+    """Archived records as items, and the lines (value, place) that are none; blank lines are neither.
+
+    An item has value, place, id, title_levels, raw_path and clean_path (its layouts), texts, images, img_cnt,
+    text_cnt, page_location (as JSON, null without) and images_by_path: the last image of each path. A line is
+    no item if it is broken or lacks, or has null for, an address, the id, texts, images or a count.
+    """
+    lines = read_lines(spark, paths, shards).where(_not_blank(F.col("value")))
+    broken = F.from_json("value", "`_none` STRING, `_broken` STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})["_broken"]
+    parsed = lines.withColumn("rec", F.when(_is_object(F.col("value")) & broken.isNull(), F.from_json("value", RECORD)))
+    address = "rec.meta_info.address"
+    needed = [f"{address}.s3_parse_address", f"{address}.s3_clean_address", *(f"rec.{n}" for n in ("id", "texts", "images", "img_cnt", "text_cnt"))]
+    whole = F.lit(True)
+    for name in needed:
+        whole &= F.col(name).isNotNull()
+    named = F.reverse(F.filter("rec.images", lambda x: x["relative_img_path"] != ""))
+    paths_of = F.transform(named, lambda x: x["relative_img_path"])
+    keys = F.array_distinct(paths_of)
+    known = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(named, F.array_position(paths_of, k).cast("int"))))
+    items = parsed.where(whole).select(
+        "value",
+        "place",
+        "rec.id",
+        title_levels().alias("title_levels"),
+        layout_path(F.col(needed[0]), suffix=".json").alias("raw_path"),
+        layout_path(F.col(needed[1]), suffix=".json").alias("clean_path"),
+        *(f"rec.{n}" for n in ("texts", "images", "img_cnt", "text_cnt")),
+        F.get_json_object("value", "$.page_location").alias("page_location"),
+        known.alias("images_by_path"),
+    )
+    return items, parsed.where(~whole).select("value", "place")
+
+
 def category_names(spark: SparkSession, path: str) -> DataFrame:
     """code and name: the first two words of lines whose first is two to four digits; the last one counts.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_records import GOOD, changed, pool
 
 from docpool import cli
-from docpool.operators import stats
+from docpool.operators import chapters, stats
 from docpool.plans import commands
 from docpool.sources import config, jsonl, sinks
 from docpool.streaming import shards as streaming
@@ -180,3 +180,42 @@ def test_analyze_all_and_rerun(spark, tmp_path):
     (tmp_path / "again").write_text("b\ngone\n")
     assert cli.main(["rerun-failed", *args, "--failed_list", f"{tmp_path}/again", "--redo"]) == 1
     assert (tmp_path / "out/failed.list").read_text() == "gone\n" and (tmp_path / "out/ok.list").read_text() == "b\n"
+
+
+def test_archived_records(spark, tmp_path):
+    page = lambda p: {"page_idx": p, "para_blocks": [{"type": "title", "lines": [{"spans": [{"type": "text", "content": f"t{p}"}]}]}, {"type": "text", "lines": [{"spans": [{"type": "text", "content": f"{p}" * 200}]}]}, {"type": "image", "blocks": [{"type": "image_body", "lines": [{"spans": [{"type": "image", "image_path": f"{p:064x}.jpg"}]}]}]}]}
+    layout = json.dumps({"pdf_info": [page(p) for p in range(4)]})
+    levels = {"0": 1, "1": 2, "2": 1, "3": "2", "x": 1}
+    images = [x for p in range(4) for x in (None, {"relative_img_path": f"doc/{p:064x}.jpg", "width": p})]
+    base = {"id": "r", "texts": [], "images": images, "img_cnt": 4, "text_cnt": 4, "more": [1.5], "meta_info": {"chapter_info": levels, "address": {"s3_parse_address": "/p/raw.json", "s3_clean_address": "/p/doc/clean.json"}}}
+    at = {n: {**base, "id": n} for n in ("whole", "flat", "lost", "short")}
+    at["flat"] |= {"meta_info": {**base["meta_info"], "chapter_info": {}}}
+    at["lost"] |= {"meta_info": {**base["meta_info"], "address": {"s3_parse_address": "/p/none.json", "s3_clean_address": "/p/doc/clean.json"}}}
+    at["short"] |= {"meta_info": {**base["meta_info"], "address": {"s3_parse_address": "/p/raw.json", "s3_clean_address": "/p/doc/one.json"}}}
+    at["whole"]["page_location"] = [[[0, -1], [4, 0]]]
+    at["twice"] = {**base, "id": "twice", "images": [{"relative_img_path": "a", "width": 1}, None, {"relative_img_path": "a", "width": 2}, {"relative_img_path": ""}]}
+    (tmp_path / "d/jsonl_res").mkdir(parents=True)
+    bad = [{k: v for k, v in base.items() if k != "img_cnt"}, [1], {**base, "texts": None}]
+    (tmp_path / "d/jsonl_res/data_0000.jsonl").write_text("\n".join([*map(json.dumps, at.values()), "", *map(json.dumps, bad), "{broken"]))
+    items, broken = jsonl.read_archived(spark, f"{tmp_path}/d/jsonl_res")
+    assert broken.count() == 4
+    read = {r["id"]: r for r in items.collect()}
+    assert set(read) == set(at) and read["whole"]["title_levels"] == {0: 1, 1: 2, 2: 1, 3: 2} and read["lost"]["page_location"] is None
+    assert {k: v["width"] for k, v in read["twice"]["images_by_path"].items()} == {"a": 2} and json.loads(read["whole"]["page_location"]) == at["whole"]["page_location"]
+
+    files = [("/p/raw.json", layout), ("/p/doc/clean.json", layout), ("/p/doc/one.json", json.dumps({"pdf_info": [page(0)]}))]
+    layouts = spark.createDataFrame(files, "path string, content string")
+    params = config.SliceParams(min_page_num=1, max_page_num=1, min_imgs_count=0, min_texts_len=1)
+    cut = {r["id"]: r for r in chapters.slice_archived(items, layouts, params).collect()}
+    assert {n: r["status"] for n, r in cut.items()} == {"whole": "cut", "twice": "cut", "flat": "no_levels", "lost": "layout_missing", "short": "short"}
+    lines = [json.loads(c["value"]) for c in cut["whole"]["chapters"]]
+    assert [x["id"] for x in lines] == [f"whole_chapter_{n}" for n in range(len(lines))] and len(lines) > 2
+    assert [i for x in lines for i in x["images"] if i] == [i for i in images if i]  # with the widths of the record
+    assert all(x["more"] == [1.5] and "index" not in x for x in lines)
+    checks = cut["whole"]
+    assert (checks["img_cnt_same"], checks["texts_same"], checks["location_same"]) == (True, False, True)
+    assert cut["twice"]["location_same"] is None and cut["flat"]["texts_same"] is None and cut["flat"]["chapters"] == []
+    top = {r["id"]: r for r in chapters.slice_archived(items, layouts, params, deepest=1).collect()}
+    assert len(top["whole"]["chapters"]) == 2  # not split below the first level
+    none = chapters.slice_archived(items.where("false"), layouts, params)
+    assert none.count() == 0

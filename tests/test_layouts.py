@@ -233,3 +233,20 @@ def test_records_of_intervals():
     found, empty = records_of_intervals(document, [((0, -1), (1, 0)), ((1, -1), (2, 0))], "/m/d/x", ("/o", "/m", "/c"), {"k": 1})
     assert empty == [((1, -1), (2, 0))] and found[0]["texts"] == ["T", None] and found[0]["img_cnt"] == 1 and found[0]["k"] == 1
     assert found[0]["meta_info"]["address"] == {"s3_origin_address": "/o/d/x.pdf", "s3_parse_address": "/m/d/x/x_middle.json", "s3_clean_address": "/c/d/x/x_cleaned_middle.json"}
+
+
+def test_relevel():
+    layout = {"pdf_info": [{"page_idx": p, "para_blocks": [block("title", span("a"), level=3), block("text", span("b"))]} for p in range(3)]}
+    of = lambda x: [b.get("level") for p in x["pdf_info"] for b in p["para_blocks"]]
+    assert of(L.relevel(layout, {0: 1, 2: 4})) == [1, None, 0, None, 4, None]
+    assert of(L.relevel(layout, fixed=2)) == [2, None] * 3 and of(L.relevel(layout, {}, fixed=0)) == [0, None] * 3
+    assert of(L.relevel(layout, fixed=2, places={0: (1, 0), 1: (2, 1), 2: (9, 0)})) == [3, None, 2, None, 3, None]
+    assert of(layout) == [3, None] * 3
+    for wrong in ({}, {"levels": {}}, {"levels": {0: 1}, "fixed": 1}):
+        with pytest.raises(ValueError):
+            L.relevel(layout, **wrong)
+
+
+def test_unions_of_intervals():
+    assert intervals.unions([[[2, 0], [3, 0]], [[0, -1], [1, 2]], [[1, 1], [2, 0]]]) == [[[0, -1], [2, 0]], [[2, 0], [3, 0]]]
+    assert intervals.unions([]) == []
