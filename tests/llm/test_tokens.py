@@ -105,6 +105,27 @@ def test_truncation_from_stored_counts(spark, odd, limit):
             token_counts.truncations(table, limit + 1).collect()
 
 
+def test_every_place_is_stored(spark, odd):
+    docs = odd.where("doc_id is not null and n_tokens = 'clash'")
+    table = token_counts.prefix_counts(docs, MODEL)
+    for r in table.collect():
+        text = ODD[r["doc_id"]] or ""
+        steps = np.frombuffer(r["tokens"], f"<i{r['width']}")
+        assert np.cumsum(steps).tolist() == [len(SP.encode(text[:k])) for k in range(1, len(text) + 1)]
+    for wanted in (2, 5, 37, 201):  # any budget
+        for r in token_counts.truncations(table, wanted).collect():
+            text = ODD[r["doc_id"]] or ""
+            assert r["chars_within"] == max(k for k in range(len(text) + 1) if len(SP.encode(text[:k])) <= wanted)
+
+
+def test_steps_that_are_not_small():
+    assert [token_counts._numbers(token_counts._stored(x)).tolist() for x in ([], [1, 0, -128], [1, 0, -129])] == [[], [1, 0, -128], [1, 0, -129]]
+    wide, small = token_counts._stored([1, 1, -129]), token_counts._stored([1, 2])
+    raw, width = token_counts.every_place([wide, small])
+    assert np.frombuffer(raw, f"<i{width}").tolist() == [2, -129, 1, 2]
+    assert token_counts.every_place([small, small]) == (bytes([3, 1, 2]), 1)
+
+
 @pytest.mark.parametrize("pattern", [r"[A-Z]?[a-z]+|\s+|[^A-Za-z\s]+|[A-Z]", r" ?[^\s]+|\s+"])
 def test_other_patterns(spark, pattern):
     own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
