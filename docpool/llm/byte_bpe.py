@@ -141,13 +141,13 @@ class Codec:
         self.marks = Memo(lambda marks: [self._merged(m) for m in marks])
 
     @classmethod
-    @lru_cache(2)
+    @common.kept
     def from_json(cls, model: str) -> Codec:
         """One for each worker process: its table of chunks serves all of its tasks."""
         return cls(Tokenizer.from_str(model))
 
     @classmethod
-    @lru_cache(2)
+    @common.kept
     def from_file(cls, path: str) -> Codec:
         return cls(Tokenizer.from_file(path))
 

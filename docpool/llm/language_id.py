@@ -146,6 +146,7 @@ def predict(docs: DataFrame, model: Mixture, id_col: str = "doc_id", text_col: s
     schema = "doc_id long, lang_pred string, score double, mixture map<string,double>, rejected boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         own = shipped.value
         for batch in common.steps(batches, "text"):
             rows = _judge(own, batch, "text")
@@ -161,6 +162,7 @@ def keep_known_languages(docs: DataFrame, model: Mixture, text_col: str = "text"
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         for batch in common.steps(batches, text_col):
             yield batch.filter(pa.array([not r[3] for r in _judge(shipped.value, batch, text_col)], pa.bool_()))
 

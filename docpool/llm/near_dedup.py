@@ -112,6 +112,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """doc_id, n_shingles, a 128-bit fingerprint of the set (set_a, set_b) and its registers."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         for batch in common.steps(batches, "text"):
             sh, ends = common.distinct_per_row(*common.shingle_hashes(*common.utf8(batch.column(1))))
             width = np.arange(len(ends), dtype=np.int64) * REGISTERS
@@ -124,6 +125,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep and the sorted shingle hashes of the sets (doc_id, set_a, set_b) that are wanted as rep."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         for batch in common.steps(batches, "text"):
             sh, ends = common.distinct_per_row(*common.shingle_hashes(*common.utf8(batch.column(1))))
             a, b = fingerprints(sh, ends)

@@ -28,7 +28,6 @@ import re
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 from operator import sub
 
@@ -207,7 +206,7 @@ class PrefixCounts:
         return before + 1 + best if best or base + 1 <= limit else before
 
 
-@lru_cache(2)
+@common.kept
 def counter(model: str) -> PrefixCounts:
     """One for each worker process: its table of words serves all of its tasks."""
     return PrefixCounts(model)

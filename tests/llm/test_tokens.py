@@ -66,6 +66,16 @@ def test_memory_of_chunks_is_bounded(monkeypatch):
         assert len(memo.known) <= 6 and "c" * 60 not in memo.known
 
 
+def test_tables_go_when_another_operator_begins():
+    from docpool.llm import line_dedup
+
+    model = byte_bpe.model_from_ranks(RANKS, P.PATTERN)
+    codec, counts = byte_bpe.Codec.from_json(model), token_counts.counter(MODEL)
+    assert byte_bpe.Codec.from_json(model) is codec and token_counts.counter(MODEL) is counts
+    assert list(line_dedup._whole_groups(iter([]))) == []
+    assert byte_bpe.Codec.from_json(model) is not codec and token_counts.counter(MODEL) is not counts
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     rows = [(i, t, "clash") for i, t in enumerate(ODD)] + [(1, " ", "again"), (None, "no id", "x")]
