@@ -147,6 +147,28 @@ def test_edit_distances_side_by_side(size, edits, most, seed):
     assert line_dedup.within(a, b, most) == want
 
 
+def test_many_edits_side_by_side(monkeypatch):
+    rng, one, two, least = random.Random(5), [], [], []
+    for letters in ("ab", "abcdefgh é", "abcdefgh 日", "abcdefgh 😀"):
+        for size, edits in ((650, 45), (900, 60)):
+            a = "".join(rng.choice(letters) for _ in range(size))
+            b = list(a)
+            for _ in range(edits):
+                k = rng.randint(0, len(b) - 1)
+                b[k : k + rng.choice([0, 1, 1])] = rng.choice([[], ["x"], [rng.choice(letters)]])
+            one, two, least = [*one, a], [*two, "".join(b)], [*least, distance(a, "".join(b), 100)]
+    monkeypatch.setattr(line_dedup, "within", None)  # which takes one pair at a time
+    assert min(least) > 15 and max(least) > 31
+    for less in (1, 0):
+        assert line_dedup.within_pairs(one + two, two + one, np.array(least * 2) - less).tolist() == [not less] * len(one) * 2
+
+
+def test_lines_of_each_text(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, " \n\n "), (4, "a\nb"), (4, "c")], "doc_id long, text string")
+    rows = line_dedup.line_table(docs, line_dedup.EVERY).where("h1 is null").collect()
+    assert sorted((r["doc_id"], r["line"], r["size"]) for r in rows) == [(1, -1, 0), (2, -1, 1), (3, -1, 3), (4, -1, 1), (4, -1, 2)]
+
+
 def made_lines(seed):
     rng = random.Random(seed)
     base = ["".join(rng.choice("abcde é日") for _ in range(rng.randint(20, 60))).replace("\n", " ") for _ in range(40)]
