@@ -23,7 +23,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.drop_repeated_lines(docs, shortest=line_dedup.EVERY)
+    return line_dedup.drop_repeated_lines(docs, shortest=line_dedup.EVERY, places=line_dedup.ANYWHERE)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

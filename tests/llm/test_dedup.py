@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from oracle import same
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from docpool.llm import common, decontaminate, line_dedup, near_dedup
 from docpool.llm import queries as Q
 
@@ -279,6 +280,51 @@ def test_long_lines(spark, monkeypatch, seed, small, block):
     assert {line_of[r["h1"]]: r["degree"] for r in degrees.collect()} == {x: n for x in lines if (n := sum(x in link for link in want))}
 
 
+@pytest.mark.parametrize(("seed", "small", "block"), [(1, 32, 400), (2, 2, 5)])
+def test_edits_anywhere(spark, monkeypatch, tmp_path, seed, small, block):
+    monkeypatch.setattr(line_dedup, "SMALL", small)
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    if seed == 2:  # every key is common
+        monkeypatch.setattr(line_dedup, "SAMPLE", 1)
+        monkeypatch.setattr(line_dedup, "common_keys", lambda table: table.select(F.explode("keys").alias("key")).distinct())
+    lines = sorted(set(made_long_lines(seed)))
+    most = lambda x, y: 2 if min(len(x), len(y)) < 60 else min(len(x), len(y)) // 20
+    want = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines[:i]) if distance(x, y, most(x, y)) <= most(x, y)]
+    assert sum(not lines_linked(lines[i], lines[j]) for i, j in want) > 5  # of which no run of a third is left
+    spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_links"], r["n_removed"]) for r in Q.op3_line_dedup(spark, str(tmp_path)).collect()}
+    root = roots(range(len(lines)), want)
+    assert got == {i: (sum(i in link for link in want), int(root[i] != i)) for i in range(len(lines))}
+    kept = corpus_pipeline.line_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == set(root.values())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(60, 700), st.integers(1, 3), st.integers(0, 10**6), st.sampled_from(["ab", "abcdefgh é日"]))
+def test_lines_edited_anywhere_share_a_key(size, spread, seed, letters):
+    rng = random.Random(seed)
+    a = "".join(rng.choice(letters) for _ in range(size))
+    b, gap = list(a), size / (size // 20 + 1)
+    for k in range(size // 20, 0, -1):  # as far apart as they can be, or somewhat off
+        at = min(size - 1, max(0, round(k * gap) - 1 + rng.randint(0, spread - 1)))
+        b[at : at + rng.choice([0, 1, 1])] = rng.choice(["x", "y"])
+    b = "".join(b)
+    if a != b and line_dedup.linked(a, b, line_dedup.ANYWHERE):
+        f = line_dedup.Fingerprints([a, b])
+        rows, keys = f.keys(np.arange(2), line_dedup.ANYWHERE)
+        shared = set(keys[rows == 0].view(np.int64).tolist()) & set(keys[rows == 1].view(np.int64).tolist())
+        assert shared and line_dedup.least_shared_keys([a, b], [b, a], line_dedup.ANYWHERE).tolist() == [min(shared)] * 2
+        x, y = f.sketches(np.arange(2))
+        assert line_dedup.changes(x[None], y[None])[0] <= 4 * line_dedup.allowed(min(len(a), len(b)))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=20), st.integers(0, 64))
+def test_packed_numbers(values, bits):
+    values = np.array([v >> bits for v in values], np.uint64)
+    assert line_dedup.unpacked(line_dedup.packed(values), len(values)).tolist() == values.tolist()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(60, 700), st.lists(st.tuples(st.floats(0, 1), st.sampled_from("+-x"), st.integers(1, 12)), max_size=3), st.integers(0, 10**6), st.sampled_from(["ab", "abcdefgh é日"]))
 def test_linked_lines_share_a_key(size, edits, seed, letters):
