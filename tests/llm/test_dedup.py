@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from oracle import same
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from docpool.llm import common, decontaminate, line_dedup, near_dedup
 from docpool.llm import queries as Q
 
@@ -295,7 +294,7 @@ def test_edits_anywhere(spark, monkeypatch, tmp_path, seed, small, block):
     got = {r["doc_id"]: (r["n_links"], r["n_removed"]) for r in Q.op3_line_dedup(spark, str(tmp_path)).collect()}
     root = roots(range(len(lines)), want)
     assert got == {i: (sum(i in link for link in want), int(root[i] != i)) for i in range(len(lines))}
-    kept = corpus_pipeline.line_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    kept = line_dedup.drop_repeated_lines(spark.read.parquet(f"{tmp_path}/documents.parquet"), places=line_dedup.ANYWHERE)
     assert {r["doc_id"] for r in kept.collect()} == set(root.values())
 
 
