@@ -317,6 +317,49 @@ def test_lines_edited_anywhere_share_a_key(size, spread, seed, letters):
         assert line_dedup.changes(x[None], y[None])[0] <= 4 * line_dedup.allowed(min(len(a), len(b)))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(60, 700), st.integers(0, 10**6), st.sampled_from(["abcdefgh ", "ab     ", "abcdé  日本語文字列の"]), st.booleans())
+def test_edited_words_share_a_key(size, seed, letters, at_spaces):
+    rng = random.Random(seed)
+    a = "".join(rng.choice(letters) for _ in range(size))
+    b = list(a)
+    for _ in range(size // 20):  # the spaces between words change two at once
+        spaces = [k for k, c in enumerate(b) if c == " "] if at_spaces else []
+        at = rng.choice(spaces) if spaces else rng.randint(0, len(b) - 1)
+        b[at : at + rng.choice([0, 1, 1])] = rng.choice(["x", " ", ""])
+    b = "".join(b)
+    if a != b and min(len(a), len(b)) >= line_dedup.MIN_CHARS and line_dedup.linked(a, b, line_dedup.ANYWHERE):
+        assert line_dedup.maybe_linked([a, b], [b, a]).all()
+        f = line_dedup.Fingerprints(["other words", a, "words\nof other lines", b])
+        rows, keys = f.keys(np.array([0, 1]), line_dedup.ANYWHERE)  # the two lines of MIN_CHARS or more
+        shared = set(keys[rows == 0].view(np.int64).tolist()) & set(keys[rows == 1].view(np.int64).tolist())
+        assert shared and line_dedup.least_shared_keys([a], [b], line_dedup.ANYWHERE).tolist() == [min(shared)]
+
+
+def test_first_words_outlast_the_edits():
+    rng = np.random.default_rng(4)
+    count = np.array([0, 1, 7, 40, 200, 0, 90])
+    line, most = np.repeat(np.arange(7), count), np.array([3, 0, 3, 10, 20, 3, 50])
+    order = rng.integers(0, 60, len(line)).astype(np.uint32)  # some of the same rank
+    head = np.cumsum(count) - count
+    taken, few = line_dedup.first_words(line, order, head, count, most)
+    for k in range(7):
+        own = [w - head[k] for w in taken.tolist() if line[w] == k]
+        apart, last = 0, -2
+        for w in own:  # no two neighbours
+            apart, last = (apart + 1, w) if w > last + 1 else (apart, last)
+        assert (apart <= most[k]) == (k in few) and (k not in few or len(own) == count[k])
+        if own:
+            assert own == np.flatnonzero(order[line == k] <= max(order[line == k][own])).tolist()
+    assert few.tolist() == [0, 5, 6]
+
+
+def test_lines_of_words_have_few_keys():
+    rng = random.Random(2)
+    line = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(200))
+    assert len(line_dedup.Fingerprints([line]).keys(np.arange(1), line_dedup.ANYWHERE)[1]) < len(line) / 6  # more than a third by grams alone
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), max_size=20), st.integers(0, 64))
 def test_packed_numbers(values, bits):
