@@ -1,6 +1,7 @@
 """Near duplicates, lines and benchmark items against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -354,6 +355,18 @@ def test_first_words_outlast_the_edits():
     assert few.tolist() == [0, 5, 6]
 
 
+def test_shuffles_are_freed(spark, tmp_path):
+    name, ids = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark.range(100).repartition(3, "id")
+    before, place = spark.conf.get(name), Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    files = lambda: {p for p in place.rglob("shuffle_*.data")}
+    there = files()
+    with common.shuffles_freed(spark):
+        common.written(ids, "freed")
+    assert not files() - there and spark.conf.get(name) == before
+    common.written(ids.where("id > 1"), "kept")
+    assert files() - there
+
+
 def test_lines_of_words_have_few_keys():
     rng = random.Random(2)
     line = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(200))
